@@ -138,7 +138,7 @@ _IDS = "trp_op_day, route, direction, evt_sta"
 _TRIP_STOPS = (
     "trp_number_trim, route, direction, place, stop, stop_name, op_day, departure, evt_sta"
 )
-_TABLES = (
+TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
@@ -248,5 +248,5 @@ _QUERIES = {
 
 ORACLE = {name: _CTES + sql for name, sql in _QUERIES.items()}
 ORACLE["scan_provenance"] = " union all ".join(
-    f"select '{t}.parquet' as id, count(*) as row_count from {t}" for t in _TABLES
+    f"select '{t}.parquet' as id, count(*) as row_count from {t}" for t in TABLES
 )

@@ -24,3 +24,17 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
+
+
+@pytest.fixture
+def setting(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def set_option(name, value):
+        before.setdefault(name, spark.conf.get(name))
+        spark.conf.set(name, value)
+
+    yield set_option
+    for name, value in before.items():
+        spark.conf.set(name, value)

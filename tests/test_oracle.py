@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from checks.oracle import _TABLES as TABLES
+from checks.oracle import TABLES
 
 
 @pytest.fixture(scope="module")

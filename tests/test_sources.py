@@ -1,0 +1,121 @@
+"""Scans, stacking and sinks."""
+
+import pytest
+
+from tests import fixtures as fx
+from tripgrid import Timetable
+from tripgrid.operators import natural_left_join, pivot_grid, select_columns, stack, unpivot_grid
+from tripgrid.schemas import TRIP_STOPS
+from tripgrid.sources import (
+    scan_text_dir, timetable_lines, write_csv, write_timetable, write_timetable_lines,
+)
+
+
+def _file(folder, name, *lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def test_folder_of_texts(spark, tmp_path):
+    folder = tmp_path / "in"
+    _file(folder, "a.csv", 'Route,Stop,"Evt, Sta"', '1,0010,"x, y"', "2,,")
+    _file(folder, "b.csv", 'Route,Stop,"Evt, Sta"', "3,5,z")
+    _file(folder, "~notes.txt", "not a table")
+    _file(folder / "sub", "c.csv", 'Route,Stop,"Evt, Sta"', "9,9,9")
+    found = scan_text_dir(spark, str(folder))
+    assert found.columns == ["id", "route", "stop", "evt_sta"]
+    assert sorted(map(tuple, found.collect()), key=str) == [
+        ("a.csv", "1", "0010", "x, y"), ("a.csv", "2", None, None), ("b.csv", "3", "5", "z"),
+    ]
+
+
+def test_files_stack_by_position(spark, tmp_path):
+    folder = tmp_path / "in"
+    _file(folder, "a.csv", "Route,Stop", "1,10")
+    _file(folder, "b.csv", "Line,Halt", "2,20")
+    found = scan_text_dir(spark, str(folder), ["route", "stop"])
+    assert sorted(map(tuple, found.collect())) == [("a.csv", "1", "10"), ("b.csv", "2", "20")]
+
+
+@pytest.mark.parametrize("line", ["2", "2,20,200"])
+def test_another_number_of_columns_fails(spark, tmp_path, line):
+    folder = tmp_path / "in"
+    _file(folder, "a.csv", "Route,Stop", "1,10")
+    _file(folder, "b.csv", "Route,Stop", line)
+    with pytest.raises(Exception, match="MALFORMED"):
+        scan_text_dir(spark, str(folder), ["route", "stop"]).select("route").collect()
+
+
+def test_stack(spark):
+    one = spark.createDataFrame([("a", "b")], "x string, y string")
+    two = spark.createDataFrame([("c", "d")], "p string, q string")
+    assert sorted(map(tuple, stack({"1.csv": one, "2.csv": two}).collect())) == [
+        ("1.csv", "a", "b"), ("2.csv", "c", "d"),
+    ]
+    with pytest.raises(ValueError):
+        stack({"1.csv": one, "2.csv": two.select("p")})
+
+
+def test_names_with_dots_and_commas(spark):
+    frame = spark.createDataFrame([("a", "b", "c")], "`St. 1, N` string, `x``y` string, z string")
+    assert select_columns(frame, "St. 1, N", "x`y").first().asDict() == {"St. 1, N": "a", "x`y": "b"}
+
+
+def test_unpivot_reverses_pivot(spark):
+    long = spark.createDataFrame(
+        [("t1", "St. 1, N", 1.0), ("t1", "B", 2.0), ("t2", "B", 3.0)], "t string, s string, v double"
+    )
+    wide = pivot_grid(long, ["t"], "s", "v", ["St. 1, N", "B"])
+    back = unpivot_grid(wide, ["t"], "s", "v")
+    assert back.count() == 4
+    assert sorted(map(tuple, back.filter("v is not null").collect())) == sorted(map(tuple, long.collect()))
+
+
+def test_natural_left_join_matches_null_and_fans_out(spark):
+    left = spark.createDataFrame([("a", None), ("b", 1.0), ("c", 2.0)], "k string, v double")
+    right = spark.createDataFrame([("a", None, "x"), ("b", 1.0, "y"), ("b", 1.0, "z")], "k string, v double, w string")
+    assert sorted(map(tuple, natural_left_join(left, right).collect()), key=str) == [
+        ("a", None, "x"), ("b", 1.0, "y"), ("b", 1.0, "z"), ("c", 2.0, None),
+    ]
+
+
+def _timetable(spark, rows, groups):
+    return Timetable(fx.trip_stops(spark, rows), fx.stop_order(spark, fx.GRID_ORDER), groups=groups)
+
+
+def _bag(df, columns):
+    return sorted(map(tuple, df.select(*columns).collect()), key=repr)
+
+
+def test_written_grids_replace_their_own_folder_only(spark, tmp_path):
+    path = str(tmp_path / "out")
+    split = {"18": ["18"], "24": ["24"]}
+    both = _timetable(spark, fx.GRID_TRIPS, split).rows
+    for _ in range(2):
+        write_timetable(both, path)
+    written = spark.read.schema(both.schema).parquet(path)
+    assert _bag(written, both.columns) == _bag(both, both.columns)
+    write_timetable(_timetable(spark, fx.trip("T9", "18", [("10", "900a")]), split).rows, path)
+    after = spark.read.schema(both.schema).parquet(path)
+    assert _bag(after.filter("route_group = '24'"), both.columns) == _bag(
+        both.filter("route_group = '24'"), both.columns
+    )
+    assert [r.trp_op_day for r in after.filter("route_group = '18'").collect()] == ["T9 - Weekday"]
+
+
+def test_printed_files_start_with_their_header(spark, tmp_path):
+    grid = _timetable(spark, fx.GRID_TRIPS, {"24": ["24", "18"]})
+    path = tmp_path / "out"
+    write_timetable_lines(timetable_lines(grid.rows, grid.headers), str(path))
+    files = sorted((path / "route_group=24" / "direction=East").glob("part-*.txt"))
+    lines = [line for f in files for line in f.read_text().splitlines()]
+    assert lines[0] == '"trp_op_day","route","direction","evt_sta","Depot - 30","Main St. - 10","Elm, N - 20"'
+    assert lines[1] == '"T1 - Weekday","18","East","","530a","540a","....."'
+    assert len(lines) == 6
+
+
+def test_csv_round_trip(spark, tmp_path):
+    rows = fx.trip_stops(spark, fx.GRID_TRIPS)
+    write_csv(rows, str(tmp_path / "out"))
+    back = scan_text_dir(spark, str(tmp_path / "out"), TRIP_STOPS).select(*TRIP_STOPS)
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)

@@ -5,11 +5,16 @@ from pyspark.sql import functions as F
 from ..fixed_values import DEPARTURE_PATTERN
 
 
-def split_departure(departure):
-    """(time, meridian) of a departure text; both null where the text is not digits + lower case."""
-    readable = F.when(departure.rlike(DEPARTURE_PATTERN), departure)
-    time = F.regexp_extract(readable, DEPARTURE_PATTERN, 1).try_cast("double")
-    return time, F.regexp_extract(readable, DEPARTURE_PATTERN, 2)
+def with_split_departure(df):
+    """Add ``time`` and ``meridian``; both null where ``departure`` is not digits + lower case.
+
+    One regular expression per row: it gives the time, and where there is one, the meridian is
+    what remains behind the digits.
+    """
+    digits = F.nullif(F.regexp_extract("departure", DEPARTURE_PATTERN, 1), F.lit(""))
+    return df.withColumn("time", digits.try_cast("double")).withColumn(
+        "meridian", F.when(F.col("time").isNotNull(), F.ltrim("departure", F.lit("0123456789")))
+    )
 
 
 def dep_time_24h(time, meridian, strict_midnight=False):
@@ -32,4 +37,5 @@ def dep_time_24h(time, meridian, strict_midnight=False):
 
 def display_time(departure):
     """Departure as printed: the first ``x`` reads ``a``; unreadable texts are printed as they are."""
-    return F.regexp_replace(departure, "^([^x]*)x", "$1a")
+    first = F.instr(departure, "x")
+    return F.when(first > 0, F.overlay(departure, F.lit("a"), first, F.lit(1))).otherwise(departure)

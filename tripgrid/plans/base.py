@@ -3,16 +3,15 @@
 from pyspark.sql import functions as F
 
 from ..fixed_values import NO_EVENT
-from ..functions import dep_time_24h, display_time, paste, split_departure, to_number
+from ..functions import dep_time_24h, display_time, paste, to_number, with_split_departure
 from ..operators import attach_stop_order, clean_trip_stops, fill_placeholder
 from ..schemas import BASE
 
 
 def with_clock(trip_stops, strict_midnight=False):
     """Add ``time``, ``meridian`` and the sortable ``dep_time_24h``."""
-    time, meridian = split_departure(F.col("departure"))
-    split = trip_stops.withColumns({"time": time, "meridian": meridian})
-    return split.withColumn("dep_time_24h", dep_time_24h(F.col("time"), F.col("meridian"), strict_midnight))
+    clock = dep_time_24h(F.col("time"), F.col("meridian"), strict_midnight)
+    return with_split_departure(trip_stops).withColumn("dep_time_24h", clock)
 
 
 def with_display(trip_stops):
@@ -28,14 +27,21 @@ def label_trips(df):
     return df.withColumn("trp_op_day", paste("trp_number_trim", "op_day"))
 
 
-def base_rows(trip_stops, stop_order, strict_midnight=False):
-    """Base rows, repeated where the inputs repeat them. No shuffle while the sheet is small."""
+def _timed_stops(trip_stops, stop_order, strict_midnight):
     timed = with_display(with_clock(clean_trip_stops(trip_stops), strict_midnight))
     sheet = stop_order.withColumn("stop_order", to_number(F.col("stop_order")))
-    labelled = label_trips(label_stops(attach_stop_order(timed, sheet)))
-    return fill_placeholder(labelled, NO_EVENT, ["evt_sta"]).select(*BASE)
+    return fill_placeholder(attach_stop_order(timed, sheet), NO_EVENT, ["evt_sta"])
+
+
+def base_rows(trip_stops, stop_order, strict_midnight=False):
+    """Base rows, repeated where the inputs repeat them. No shuffle while the sheet is small."""
+    timed = _timed_stops(trip_stops, stop_order, strict_midnight)
+    return label_trips(label_stops(timed)).select(*BASE)
 
 
 def timetable_base(trip_stops, stop_order, strict_midnight=False):
-    """Distinct base rows."""
-    return base_rows(trip_stops, stop_order, strict_midnight).distinct()
+    """Distinct base rows. The two labels follow from other columns, so they are made afterwards."""
+    labels = {"trp_op_day", "stop_info"}
+    timed = _timed_stops(trip_stops, stop_order, strict_midnight)
+    distinct = timed.select(*[c for c in BASE if c not in labels]).distinct()
+    return label_trips(label_stops(distinct)).select(*BASE)

@@ -1,5 +1,6 @@
 """Route groups: the routes printed together in one grid."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..fixed_values import DIRECTIONS, ROUTE_GROUPS
@@ -7,8 +8,8 @@ from ..fixed_values import DIRECTIONS, ROUTE_GROUPS
 
 def route_groups(spark, groups=ROUTE_GROUPS):
     """(route_group, route) table of a ``{group: [routes]}`` mapping."""
-    pairs = [(group, route) for group, routes in groups.items() for route in routes]
-    return spark.createDataFrame(pairs, "route_group string, route string")
+    names, routes = zip(*[(group, route) for group, members in groups.items() for route in members])
+    return spark.createDataFrame(pa.table({"route_group": names, "route": routes}))
 
 
 def with_route_group(df, groups=ROUTE_GROUPS, directions=DIRECTIONS):

@@ -121,8 +121,14 @@ class Timetable:
             F.transform(ordered, lambda s: s["stop_info"]).alias("stop_infos")
         )
 
-    def _placed_cells(self):
-        return self.cells.join(bounded(self._header.drop("cnt")), [*GRID, "stop_info"])
+    def _cells_by_trip(self):
+        """Cells with their place in the header, those of a trip together.
+
+        Cells are merged already, so a trip has at most one per header column, and a partial
+        aggregate would only sort rows that do not meet before the shuffle.
+        """
+        header = bounded(self._header.drop("cnt"))
+        return self.cells.join(header, [*GRID, "stop_info"]).repartition(*TRIP).groupBy(*TRIP)
 
     def _ranked(self, trips, name):
         seen = F.col("first_seen")
@@ -143,7 +149,7 @@ class Timetable:
     @cached_property
     def trips(self):
         """Trips of each grid, ranked; those that miss the anchor stop come last."""
-        trips = self._placed_cells().groupBy(*TRIP).agg(*self._trip_columns())
+        trips = self._cells_by_trip().agg(*self._trip_columns())
         return self._ranked(trips, "trip_rank").select(
             *GRID, "trp_op_day", "route", "evt_sta", "anchor_time", "trip_rank"
         )
@@ -155,7 +161,7 @@ class Timetable:
         A trip has at most one entry per header column, which bounds what is collected for it.
         """
         entry = F.when(F.col("display").isNotNull(), F.struct("stop_pos", "display"))
-        trips = self._placed_cells().groupBy(*TRIP).agg(
+        trips = self._cells_by_trip().agg(
             *self._trip_columns(), F.collect_list(entry).alias("entries"), F.max("width").alias("width")
         )
         return self._ranked(trips, "trip_rank").select(
