@@ -12,12 +12,12 @@ def route_groups(spark, groups=ROUTE_GROUPS):
     return spark.createDataFrame(pa.table({"route_group": names, "route": routes}))
 
 
-def with_route_group(df, groups=ROUTE_GROUPS, directions=DIRECTIONS):
-    """Rows that belong to a grid, with their ``route_group``.
-
-    The filters say again what the join implies, so that they reach the file scan. The mapping is
-    a Python literal, hence small enough to broadcast.
-    """
+def printed_rows(df, groups=ROUTE_GROUPS, directions=DIRECTIONS):
+    """Rows that belong to a grid; literal lists, so the filter reaches the file scan."""
     routes = sorted({route for members in groups.values() for route in members})
-    printed = df.filter(F.col("route").isin(routes) & F.col("direction").isin(list(directions)))
-    return printed.join(F.broadcast(route_groups(df.sparkSession, groups)), "route")
+    return df.filter(F.col("route").isin(routes) & F.col("direction").isin(list(directions)))
+
+
+def with_route_group(df, groups=ROUTE_GROUPS):
+    """Add ``route_group``. The mapping is a Python literal, hence small enough to broadcast."""
+    return df.join(F.broadcast(route_groups(df.sparkSession, groups)), "route")

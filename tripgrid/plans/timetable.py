@@ -11,7 +11,7 @@ from ..operators import bounded, ranked
 from ..schemas import CELL, GRID, TRIP, WIDE_IDS
 from ..sources import Staging
 from .base import base_rows
-from .groups import with_route_group
+from .groups import printed_rows, with_route_group
 
 
 class ConflictingCells(ValueError):
@@ -54,22 +54,25 @@ class Timetable:
 
     @cached_property
     def cells(self):
-        """One row per trip and stop: earliest time, its printed text, where the header first has it."""
-        base = with_route_group(
+        """One row per trip and stop: earliest time, its printed text, where the header first has it.
+
+        ``first_order`` and ``first_time`` only sort; there, NaN stands for null and comes last.
+        """
+        base = printed_rows(
             base_rows(self.trip_stops, self.stop_order, self.strict_midnight), self.groups, self.directions
         )
-        time, text, order = F.col("dep_time_24h"), F.col("departure_save"), F.col("stop_order")
-        # Structs compare field by field; the leading booleans put nulls last.
-        shown = F.struct(time.isNull(), time.alias("time"), text.isNull(), text.alias("text"))
-        seen = F.struct(order.isNull(), order.alias("order"), time.isNull(), time.alias("time"))
-        merged = base.groupBy(*CELL).agg(
-            F.min(shown).alias("shown"), F.min(seen).alias("seen"), F.max(time).alias("latest_time")
+        text, time = F.col("departure_save"), _null_last("dep_time_24h")
+        merged = base.groupBy(*[c for c in CELL if c != "route_group"]).agg(
+            F.min(F.struct(time.alias("time"), text.isNull(), text.alias("text"))).alias("shown"),
+            F.min(F.struct(_null_last("stop_order").alias("order"), time.alias("time"))).alias("seen"),
+            F.max("dep_time_24h").alias("latest_time"),
         )
+        shown_time = F.col("shown.time")
         cells = self._staging.table(
-            merged.select(
-                *CELL, F.col("shown.time").alias("dep_time_24h"), F.col("shown.text").alias("display"),
-                F.col("seen.order").alias("first_order"), F.col("seen.time").alias("first_time"),
-                "latest_time",
+            with_route_group(merged, self.groups).select(
+                *CELL, F.when(~F.isnan(shown_time), shown_time).alias("dep_time_24h"),
+                F.col("shown.text").alias("display"), F.col("seen.order").alias("first_order"),
+                F.col("seen.time").alias("first_time"), "latest_time",
             ),
             "cells",
         )
@@ -92,11 +95,9 @@ class Timetable:
         per_key = self.cells.groupBy(*GRID, "stop_info", "route", "first_order").agg(
             served.alias("cnt"), F.min("first_time").alias("first_time")
         )
-        order, time = F.col("first_order"), F.col("first_time")
         per_stop = per_key.groupBy(*GRID, "stop_info").agg(
             F.sum("cnt").alias("cnt"),
-            F.min(F.struct("route", order.isNull(), order.alias("order"), time.isNull(), time.alias("time")))
-            .alias("first_seen"),
+            F.min(F.struct("route", "first_order", "first_time")).alias("first_seen"),
         )
         # One row per header column: as many as one output row has cells.
         grid = Window.partitionBy(*GRID)
@@ -139,11 +140,9 @@ class Timetable:
 
     @staticmethod
     def _trip_columns():
-        order, time = F.col("first_order"), F.col("first_time")
         return [
             F.max(F.when(F.col("is_anchor"), F.col("dep_time_24h"))).alias("anchor_time"),
-            F.min(F.struct(order.isNull(), order.alias("order"), time.isNull(), time.alias("time")))
-            .alias("first_seen"),
+            F.min(F.struct("first_order", "first_time")).alias("first_seen"),
         ]
 
     @cached_property
@@ -199,6 +198,11 @@ class Timetable:
         )
 
 
+def _null_last(number):
+    """A sort key in which null is NaN, which Spark sorts behind every number."""
+    return F.coalesce(F.col(number), F.lit(float("nan")))
+
+
 def _conflicts(cells):
     return cells.filter(F.col("dep_time_24h") < F.col("latest_time")).select(
         *GRID, "trp_op_day", "route", "evt_sta", "stop_info",
