@@ -19,14 +19,14 @@ def trip_stops(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     key, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     minute = 270 + key * 37 % 1380 + 4 * line + F.when(part % 40 == 7, 2).otherwise(0)
-    hour = F.floor(F.col("_minute") / 60)
+    hour = F.expr("_minute div 60")
     clock_hour = F.when(hour % 12 == 0, 12).otherwise(hour % 12)
     meridian = F.when(hour < 12, "a").when(hour < 24, "p").otherwise("x")
     clock = F.concat(clock_hour.cast("string"), F.lpad((F.col("_minute") % 60).cast("string"), 2, "0"), meridian)
     columns = {
         "trp_number_trim": key.cast("string"),
         "route": _pick(ROUTES, key % 10),
-        "direction": _pick(DIRECTIONS, F.floor(key / 10) % 5),
+        "direction": _pick(DIRECTIONS, F.expr("l_orderkey div 10") % 5),
         "place": F.concat(F.lit("P"), line),
         "stop": (100 * line + F.col("l_suppkey") % 2).cast("string"),
         "stop_name": F.concat(F.lit("St. "), line, F.lit(", N")),

@@ -92,8 +92,8 @@ firsts as (
 ),
 positions as (
   select route_group, direction, stop_info,
-    row_number() over (partition by route_group, direction
-      order by route, stop_order nulls last, dep_time_24h nulls last, stop_info) as stop_pos
+    cast(row_number() over (partition by route_group, direction
+      order by route, stop_order nulls last, dep_time_24h nulls last, stop_info) as int) as stop_pos
   from firsts where nth = 1
 ),
 stops as (

@@ -26,6 +26,11 @@ def _bag(columns, rows):
     return sorted(columns), sorted(cleaned, key=repr)
 
 
+SQL_TYPES = {
+    "string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN",
+}
+
+
 def test_same_keys():
     assert set(contract.queries()) == set(contract.oracle_sql())
 
@@ -35,7 +40,9 @@ def test_query_equals_sql(spark, sf_dir, db, name):
     result = contract.queries()[name](spark, sf_dir)
     spark_columns, spark_rows = _bag(result.columns, [tuple(r) for r in result.collect()])
     cursor = db.execute(contract.oracle_sql()[name])
-    sql_columns, sql_rows = _bag([c[0] for c in cursor.description], cursor.fetchall())
+    sql_types = {c[0]: str(c[1]) for c in cursor.description}
+    sql_columns, sql_rows = _bag(list(sql_types), cursor.fetchall())
+    assert {column: SQL_TYPES[kind] for column, kind in result.dtypes} == sql_types
     assert spark_columns == sql_columns
     assert len(spark_rows) == len(sql_rows) > 0
     assert spark_rows == sql_rows

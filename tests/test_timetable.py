@@ -128,6 +128,26 @@ def test_a_large_sheet_takes_the_shuffled_join(spark, setting, monkeypatch):
     assert "SortMergeJoin" in _plan(attach_stop_order(grid.trip_stops, grid.stop_order))
 
 
+def test_a_hot_stop_is_split_by_the_shuffled_join(spark, setting, monkeypatch):
+    """Half of all rows call at one stop, and the sheet is too large to broadcast."""
+    monkeypatch.setattr(joining, "BROADCAST_ROWS", -1)
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "100KB")
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50KB")
+    number = F.col("id").cast("string")
+    stops = spark.range(0, 100_000, 1, 8).select(
+        number.alias("trp_number_trim"), F.lit("24").alias("route"), F.lit("East").alias("direction"),
+        F.when(F.col("id") % 2 == 0, "10").otherwise((F.col("id") % 97).cast("string")).alias("stop"),
+    )
+    sheet = spark.range(97).select(
+        F.lit("24").alias("route"), F.lit("East").alias("direction"), number.alias("stop"),
+        number.alias("stop_order"),
+    )
+    joined = attach_stop_order(stops, sheet).agg(F.count("*"), F.countDistinct("trp_number_trim"))
+    assert tuple(joined.collect()[0]) == (100_000, 100_000)
+    assert "SortMergeJoin(skew=true)" in _plan(joined)
+
+
 def test_a_small_sheet_is_broadcast(spark):
     grid = _grid(spark)
     assert "BroadcastHashJoin" in _plan(attach_stop_order(grid.trip_stops, grid.stop_order))

@@ -18,7 +18,7 @@ def paste(*columns):
 
 def to_number(text):
     """Text as a double; null for anything that is not a plain decimal number (``1d`` is not one)."""
-    return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def quoted(name):
