@@ -21,11 +21,19 @@ def shared_folder(spark):
 
 
 class Staging:
-    """Writes tables below the shared folder and can remove its own ones again."""
+    """Writes tables below the shared folder; they go with ``remove`` or when the driver ends."""
 
     def __init__(self, spark):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/tripgrid-{uuid.uuid4().hex}"
+        files, folder = self._folder()
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+
+    def _folder(self):
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self.root)
+        return folder.getFileSystem(context._jsc.hadoopConfiguration()), folder
 
     def path(self, label):
         return f"{self.root}/{label}-{uuid.uuid4().hex[:8]}"
@@ -37,6 +45,5 @@ class Staging:
 
     def remove(self):
         """Delete this object's tables; results that still read them cannot be used afterwards."""
-        context = self.spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(self.root)
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        files, folder = self._folder()
+        files.delete(folder, True)
