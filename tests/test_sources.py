@@ -19,13 +19,14 @@ def _file(folder, name, *lines):
 def test_folder_of_texts(spark, tmp_path):
     folder = tmp_path / "in"
     _file(folder, "a.csv", 'Route,Stop,"Evt, Sta"', '1,0010,"x, y"', "2,,")
-    _file(folder, "b.csv", 'Route,Stop,"Evt, Sta"', "3,5,z")
+    _file(folder, "b.csv", 'Route,Stop,"Evt, Sta"', " 3 ,5, ", '4,"",z')
     _file(folder, "~notes.txt", "not a table")
     _file(folder / "sub", "c.csv", 'Route,Stop,"Evt, Sta"', "9,9,9")
     found = scan_text_dir(spark, str(folder))
     assert found.columns == ["id", "route", "stop", "evt_sta"]
     assert sorted(map(tuple, found.collect()), key=str) == [
-        ("a.csv", "1", "0010", "x, y"), ("a.csv", "2", None, None), ("b.csv", "3", "5", "z"),
+        ("a.csv", "1", "0010", "x, y"), ("a.csv", "2", None, None), ("b.csv", "3", "5", None),
+        ("b.csv", "4", None, "z"),
     ]
 
 

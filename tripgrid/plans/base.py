@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import NO_EVENT
 from ..functions import dep_time_24h, display_time, paste, to_number, with_split_departure
 from ..operators import attach_stop_order, clean_trip_stops, fill_placeholder
-from ..schemas import BASE
+from ..schemas import BASE, STOP_KEY
 
 
 def with_clock(trip_stops, strict_midnight=False):
@@ -29,12 +29,13 @@ def label_trips(df):
 
 def _timed_stops(trip_stops, stop_order, strict_midnight):
     timed = with_display(with_clock(clean_trip_stops(trip_stops), strict_midnight))
-    sheet = stop_order.withColumn("stop_order", to_number(F.col("stop_order")))
+    # Base rows are distinct in the end; copies in the sheet would only multiply rows in the join.
+    sheet = stop_order.select(*STOP_KEY, to_number(F.col("stop_order")).alias("stop_order")).distinct()
     return fill_placeholder(attach_stop_order(timed, sheet), NO_EVENT, ["evt_sta"])
 
 
 def base_rows(trip_stops, stop_order, strict_midnight=False):
-    """Base rows, repeated where the inputs repeat them. No shuffle while the sheet is small."""
+    """Base rows, repeated where trip stops repeat. Trip stops are not shuffled while the sheet is small."""
     timed = _timed_stops(trip_stops, stop_order, strict_midnight)
     return label_trips(label_stops(timed)).select(*BASE)
 

@@ -11,11 +11,12 @@ def scan_text_dir(spark, path, columns=None, glob="*.csv", **options):
     """Every CSV file of one folder (not its subfolders) as text, with its file name as ``id``.
 
     Files are stacked by column position under ``columns``, or under the header of one file where
-    none are given; blank cells are null, and a file with another number of columns fails the read.
-    Column pruning is off because a pruned CSV read no longer sees how many columns a line has.
+    none are given. Texts are trimmed, blank cells are null, and a file with another number of
+    columns fails the read: column pruning is off, since a pruned read does not see that number.
     """
     reader = spark.read.options(
-        header=True, mode="FAILFAST", columnPruning=False, pathGlobFilter=glob, **options
+        header=True, mode="FAILFAST", columnPruning=False, pathGlobFilter=glob,
+        ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, **options
     )
     if columns:
         reader = reader.schema(text_schema(columns))
