@@ -4,6 +4,7 @@ import pytest
 
 from tests import fixtures as fx
 from tripgrid import Timetable
+from tripgrid.__main__ import print_timetables
 from tripgrid.operators import natural_left_join, pivot_grid, select_columns, stack, unpivot_grid
 from tripgrid.schemas import TRIP_STOPS
 from tripgrid.sources import (
@@ -120,3 +121,23 @@ def test_csv_round_trip(spark, tmp_path):
     write_csv(rows, str(tmp_path / "out"))
     back = scan_text_dir(spark, str(tmp_path / "out"), TRIP_STOPS).select(*TRIP_STOPS)
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+
+
+def test_from_folders_to_printed_timetables(spark, tmp_path):
+    head = 'trp_number_trim,Route,Direction,Place,Stop,Stop Name,Op Day,Departure,"Evt, Sta"'
+    for number in {row[0] for row in fx.GRID_TRIPS}:
+        lines = [
+            ",".join('"' + (text or "") + '"' for text in row) for row in fx.GRID_TRIPS if row[0] == number
+        ]
+        _file(tmp_path / "exports", f"{number}.csv", head, *lines)
+    _file(tmp_path / "sheets", "order.csv", "Route,Direction,Stop,Stop Order", *map(",".join, fx.GRID_ORDER))
+    print_timetables(
+        spark, str(tmp_path / "exports"), str(tmp_path / "sheets"), str(tmp_path / "out"),
+    )
+    files = sorted((tmp_path / "out" / "route_group=24" / "direction=East").glob("part-*.txt"))
+    lines = [line for f in files for line in f.read_text().splitlines()]
+    assert lines[1:] == [
+        ",".join(f'"{text}"' for text in (trip, route, "East", event, *cells))
+        for _, trip, route, event, cells in fx.GRID_ROWS
+    ]
+    assert len(list((tmp_path / "out").glob("route_group=*/direction=*"))) == 1
