@@ -19,13 +19,17 @@ def bounded(df):
     Where it is too large the join becomes a sort-merge join, whose hot keys adaptive execution
     splits over several tasks. Measuring computes ``df`` once, so pass a scan or a staged table.
     """
-    size = sum(
-        (F.coalesce(F.octet_length(quoted(name)), F.lit(0)) if kind == "string" else F.lit(16)
-         for name, kind in df.dtypes),
-        F.lit(0),
-    )
-    rows, width = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return F.broadcast(df) if rows <= BROADCAST_ROWS and width <= BROADCAST_BYTES else df
+    size = sum((_bytes(quoted(name), kind) for name, kind in df.dtypes), F.lit(0))
+    rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and total <= BROADCAST_BYTES else df
+
+
+def _bytes(column, kind):
+    if kind == "string":
+        return F.coalesce(F.octet_length(column), F.lit(0))
+    if kind.startswith(("array", "map", "struct")):
+        return F.coalesce(F.octet_length(F.to_json(column)), F.lit(0))
+    return F.lit(16)
 
 
 def _same(keys):

@@ -131,39 +131,31 @@ class Timetable:
         header = bounded(self._header.drop("cnt"))
         return self.cells.join(header, [*GRID, "stop_info"]).repartition(*TRIP).groupBy(*TRIP)
 
-    def _ranked(self, trips, name):
-        seen = F.col("first_seen")
-        order = [
-            F.col("anchor_time").asc_nulls_last(), F.col("route"), seen, F.col("trp_op_day"), F.col("evt_sta"),
-        ]
-        return ranked(trips, self._staging, GRID, order, name)
-
-    @staticmethod
-    def _trip_columns():
-        return [
+    def _ranked(self, *collected):
+        trips = self._cells_by_trip().agg(
             F.max(F.when(F.col("is_anchor"), F.col("dep_time_24h"))).alias("anchor_time"),
             F.min(F.struct("first_order", "first_time")).alias("first_seen"),
-        ]
+            *collected,
+        )
+        order = [F.col("anchor_time").asc_nulls_last(), "route", "first_seen", "trp_op_day", "evt_sta"]
+        return ranked(trips, self._staging, GRID, order, "trip_rank")
+
+    @cached_property
+    def _filled_trips(self):
+        # A trip has at most one entry per header column, which bounds what is collected for it.
+        entry = F.when(F.col("display").isNotNull(), F.struct("stop_pos", "display"))
+        return self._ranked(F.collect_list(entry).alias("entries"), F.max("width").alias("width"))
 
     @cached_property
     def trips(self):
         """Trips of each grid, ranked; those that miss the anchor stop come last."""
-        trips = self._cells_by_trip().agg(*self._trip_columns())
-        return self._ranked(trips, "trip_rank").select(
-            *GRID, "trp_op_day", "route", "evt_sta", "anchor_time", "trip_rank"
-        )
+        trips = self._filled_trips if "_filled_trips" in self.__dict__ else self._ranked()
+        return trips.select(*GRID, "trp_op_day", "route", "evt_sta", "anchor_time", "trip_rank")
 
     @cached_property
     def rows(self):
-        """Ranked trips with ``cells``, an array of printed times aligned to the grid's header.
-
-        A trip has at most one entry per header column, which bounds what is collected for it.
-        """
-        entry = F.when(F.col("display").isNotNull(), F.struct("stop_pos", "display"))
-        trips = self._cells_by_trip().agg(
-            *self._trip_columns(), F.collect_list(entry).alias("entries"), F.max("width").alias("width")
-        )
-        return self._ranked(trips, "trip_rank").select(
+        """Ranked trips with ``cells``, an array of printed times aligned to the grid's header."""
+        return self._filled_trips.select(
             *GRID, "trip_rank", "trp_op_day", "route", "evt_sta",
             aligned_cells(F.col("entries"), F.col("width").cast("int"), EMPTY_CELL).alias("cells"),
         )
@@ -171,13 +163,13 @@ class Timetable:
     @cached_property
     def timetable_cells(self):
         """The grids in long form, empty cells included."""
-        long = self.rows.select(
+        titled = self.rows.join(bounded(self.headers), GRID)
+        return titled.select(
             *GRID, "trip_rank", "trp_op_day", "route", "evt_sta",
-            F.posexplode("cells").alias("_place", "display"),
-        ).withColumn("stop_pos", F.col("_place") + 1)
-        titles = bounded(self.stops.select(*GRID, "stop_pos", "stop_info"))
-        return long.join(titles, [*GRID, "stop_pos"]).select(
-            *GRID, "trip_rank", "trp_op_day", "route", "evt_sta", "stop_pos", "stop_info", "display"
+            F.posexplode(F.arrays_zip("stop_infos", "cells")).alias("place", "cell"),
+        ).select(
+            *GRID, "trip_rank", "trp_op_day", "route", "evt_sta", (F.col("place") + 1).alias("stop_pos"),
+            F.col("cell.stop_infos").alias("stop_info"), F.col("cell.cells").alias("display"),
         )
 
     def header(self, group, direction):
