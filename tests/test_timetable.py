@@ -222,3 +222,10 @@ def test_staged_tables_can_be_removed(spark, tmp_path):
         assert grid.rows.count() == 5
         assert Path(root).is_dir()
     assert not Path(root).exists()
+
+
+def test_trips_are_the_same_before_and_after_rows(spark):
+    first, second = _grid(spark), _grid(spark)
+    before = list(map(tuple, first.trips.collect()))
+    assert second.rows.count() == len(before) == 5
+    assert sorted(map(tuple, second.trips.collect()), key=repr) == sorted(before, key=repr)
