@@ -1,3 +1,142 @@
-"""DuckDB SQL for the operators that SQL can express."""
+"""DuckDB SQL for the operators that SQL can express, written from what they promise, not how they work."""
 
-ORACLE = {}
+from .quality_rules import POLICY, RULES as QUALITY_RULES
+from .secret_scan import RULES as SECRET_RULES
+from .url_rules import PATTERN_RULES
+
+_SMALL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(" + _SMALL.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _quoted(text):
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _fits(host, path):
+    return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+
+
+_URL_RULES = [("block", "example.org", "/en/1"), ("block", "example.org", "/es/"), ("allow", "com", "/fr/"),
+              ("block", "com", "/de/"), ("allow", "org", "/")]
+_URLS = f"""
+WITH parts AS (
+  SELECT page_id, {_SMALL.format("coalesce(url, '')")} AS small,
+         {_SMALL.format("coalesce(regexp_extract(url, '://([^/?#]*)', 1), '')")} AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+ruled AS (
+  SELECT *, CASE {" ".join(f"WHEN {_fits(h, p)} THEN '{h}{p}'" for _, h, p in _URL_RULES)} END AS rule,
+         CASE {" ".join(f"WHEN {_fits(h, p)} THEN '{v}'" for v, h, p in _URL_RULES)} END AS ruled,
+         CASE {" ".join(f"WHEN regexp_matches(small, {_quoted(r.pattern)}) THEN {_quoted(r.name)}"
+                        for r in sorted(PATTERN_RULES, key=lambda r: r.name))} END AS pattern
+  FROM parts)
+SELECT page_id, host, path, rule,
+       coalesce(ruled, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict, pattern
+FROM ruled"""
+
+_DECONTAMINATION = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 13) AS n, w[i:i + 12] AS g
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+places AS (
+  SELECT r, i, n, w[i:i + n - 1] AS g
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+found AS (SELECT r, i, p.n, item FROM places p JOIN windows v ON p.n = v.n AND p.g = v.g),
+hits AS (SELECT r, count(DISTINCT pos) AS n_hit
+         FROM (SELECT r, unnest(range(i, i + n)) AS pos FROM (SELECT DISTINCT r, i, n FROM found)) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)"""
+
+_JACCARD = f"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+shared AS (SELECT a.r, b.r AS other, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY 1, 2),
+links AS (
+  SELECT s.r, other, both = a.n AND both = b.n AS same
+  FROM shared s JOIN sizes a ON s.r = a.r JOIN sizes b ON s.other = b.r WHERE 10 * both >= 8 * (a.n + b.n - both)),
+reached AS (SELECT r, r AS other FROM sizes UNION SELECT x.r, l.other FROM reached x JOIN links l ON x.other = l.r),
+classes AS (SELECT x.r, min(d.doc_id) AS class_id FROM reached x JOIN docs d ON x.other = d.r GROUP BY x.r),
+counts AS (SELECT r, count(*) AS n_links, count(*) FILTER (same) AS n_copies FROM links GROUP BY r)
+SELECT doc_id, CASE WHEN n IS NULL THEN doc_id ELSE class_id END AS class_id, coalesce(n_links, 0) AS n_links,
+       coalesce(n_copies, 0) AS n_copies, CAST(coalesce(n, 0) AS INTEGER) AS n_shingles
+FROM docs LEFT JOIN sizes USING (r) LEFT JOIN classes USING (r) LEFT JOIN counts USING (r)"""
+
+
+def _secrets():
+    parts = []
+    for n, rule in enumerate(SECRET_RULES):
+        # Of the hex kind all runs are found here and the short ones dropped.
+        pattern = "[0-9a-f]+" if rule.kind == "hex" else rule.regex
+        parts.append(f"""
+  SELECT r, {n} AS kind_no, '{rule.kind}' AS kind, {rule.least} AS least,
+         unnest(range(0, len(regexp_extract_all(t, {_quoted(pattern)})))) AS nth,
+         unnest(string_split_regex(t, {_quoted(pattern)})) AS gap,
+         unnest(regexp_extract_all(t, {_quoted(pattern)}, 0)) AS m,
+         unnest(regexp_extract_all(t, {_quoted(pattern)}, {rule.group})) AS judged
+  FROM docs""")
+    span = "kind || ':' || (e - length(m)) || ':' || e"
+    ordered = "ORDER BY e - length(m), kind_no, e"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+matches AS ({" UNION ALL ".join(parts)}),
+placed AS (SELECT *, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY r, kind_no ORDER BY nth) AS BIGINT) AS e
+           FROM matches WHERE m IS NOT NULL),
+kept AS (SELECT * FROM placed WHERE length(judged) >= least),
+per_doc AS (
+  SELECT r, count(*) FILTER (kind_no = 0) AS n_assign, count(*) FILTER (kind_no = 1) AS n_access,
+         count(*) FILTER (kind_no = 2) AS n_hex,
+         string_agg({span}, ',' {ordered}) FILTER (kind_no < 3) AS base, string_agg({span}, ',' {ordered}) AS spans
+  FROM kept GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN per_doc USING (r)"""
+
+
+_BITS = " + ".join(f"CASE WHEN {condition} THEN {1 << i} ELSE 0 END" for i, condition in enumerate(QUALITY_RULES.values()))
+_QUALITY = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+          FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM docs WHERE len(w) > 2)),
+repeated AS (SELECT r, unnest(range(i, i + 3)) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY r, g) AS n FROM grams) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT pos) AS n FROM repeated GROUP BY r),
+measured AS (
+  SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS BIGINT) AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(regexp_extract_all(t, '!+')) AS n_marks,
+         len(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]'))) AS n_lines,
+         len(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
+           - len(list_distinct(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+         coalesce(c.n, 0) AS n_repeat_words
+  FROM docs LEFT JOIN covered c USING (r)),
+judged AS (SELECT *, CAST({_BITS} AS BIGINT) AS failed_rules FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, failed_rules & {POLICY.mask} = 0 AS kept,
+       failed_rules, '{POLICY.name}/{POLICY.version}' AS policy
+FROM judged"""
+
+_WARC = """
+WITH read AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+held AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) FILTER (n >= 100) OVER (PARTITION BY digest) END AS first FROM read)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM held"""
+
+ORACLE = {
+    "op2_url_filter": _URLS,
+    "op3_decontamination": _DECONTAMINATION,
+    "op4_jaccard_join": _JACCARD,
+    "op5_secret_scan": _secrets(),
+    "op6_quality_rules": _QUALITY,
+    "op10_warc_salvage": _WARC,
+}
