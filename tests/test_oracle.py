@@ -6,7 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from checks.oracle import TABLES
+from checks.oracle import ORACLE, TABLES
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -32,14 +33,15 @@ SQL_TYPES = {
 
 
 def test_same_keys():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, db, name):
-    result = contract.queries()[name](spark, sf_dir)
+    result = QUERIES[name](spark, sf_dir)
     spark_columns, spark_rows = _bag(result.columns, [tuple(r) for r in result.collect()])
-    cursor = db.execute(contract.oracle_sql()[name])
+    cursor = db.execute(ORACLE[name])
     sql_types = {c[0]: str(c[1]) for c in cursor.description}
     sql_columns, sql_rows = _bag(list(sql_types), cursor.fetchall())
     assert {column: SQL_TYPES[kind] for column, kind in result.dtypes} == sql_types
