@@ -5,7 +5,7 @@ from pyspark.sql import Window, functions as F
 from ..operators import bounded
 from ..sources import Staging
 
-__all__ = ["Staging", "bounded", "ascii_lower", "words", "whole_text", "numbered", "WORD", "ROW"]
+__all__ = ["Staging", "bounded", "ascii_lower", "words", "whole_text", "numbered", "fenced", "WORD", "ROW"]
 
 # A run of characters that are neither ASCII signs, blanks nor capitals; texts are lower-cased first.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -29,6 +29,19 @@ def words(text):
     return F.regexp_extract_all(ascii_lower(whole_text(text)), F.lit(WORD), F.lit(0))
 
 
+def fenced(df, drop=(), **columns):
+    """``df`` with these columns set, each computed once per row whatever is done with it later.
+
+    The optimizer copies a projected expression into every filter on it; it does not look behind a
+    generator, so the values come out of one that yields a single row.
+    """
+    values = F.inline(F.array(F.struct(*[column.alias(name) for name, column in columns.items()])))
+    kept = [c for c in df.columns if c not in drop]
+    others = [F.col(f"`{c}`") for c in kept if c not in columns]
+    order = [*kept, *[c for c in columns if c not in kept]]
+    return df.select(*others, values).select(*[F.col(f"`{c}`") for c in order])
+
+
 def numbered(staged, groups, name):
     """Number the rows 0, 1, ... of each group without a gap, whatever share of them it holds.
 

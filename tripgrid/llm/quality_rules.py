@@ -13,12 +13,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import fenced, whole_text
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 GRAM = 3
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_marks", "n_lines", "n_dup_lines", "n_repeat_words")
 # Rules in the order of their bits: name and the condition under which a document fails.
 RULES = {
     "too_few_words": "n_words < 50",
@@ -84,7 +85,9 @@ def measured(documents, *keep):
     covered = F.aggregate(
         F.transform("_at", lambda i, k: F.least(F.lit(GRAM), F.coalesce(F.get("_at", k + 1) - i, F.lit(GRAM)))),
         F.lit(0), lambda a, b: a + b)
-    return at.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_grams", "_sorted", "_at")
+    return fenced(
+        at, ("_grams", "_sorted", "_at"), **{name: F.col(name) for name in MEASURES[:-1]},
+        n_repeat_words=F.coalesce(covered, F.lit(0)).cast("long"))
 
 
 def ledger(documents, *keep):
