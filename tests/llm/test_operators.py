@@ -167,9 +167,10 @@ def test_masked_texts_hold_no_secret(documents, none):
     shown = secret_scan.masked(documents.withColumn("n_chars", F.lit(0)))
     assert {r.doc_id: r.text for r in shown.collect()}[20].startswith('password = "[REDACTED]" Token:abc token=[REDACTED]')
     assert secret_scan.span_summary(secret_scan.findings(shown)).filter("spans != ''").isEmpty()
-    untouched = [(d, t) for d, t in DOCUMENTS if not brute.secrets(t)]
-    _same(_rows(shown.join(_frame(shown.sparkSession, untouched).select("doc_id").distinct(), "doc_id"), "doc_id"),
-          [(d,) for d, t in DOCUMENTS if d in {x for x, _ in untouched}])
+    clean = [(d, t) for d, t in DOCUMENTS if not brute.secrets(t) and "ghp_" not in (t or "")]
+    kept = Counter(_rows(shown, "doc_id", "text"))
+    assert not Counter(clean) - kept and sum(kept.values()) == len(DOCUMENTS)
+    assert shown.filter("n_chars != char_length(text)").isEmpty()
     assert secret_scan.masked(none).count() == 0
 
 
@@ -424,7 +425,7 @@ def test_salvage(packed):
     whole = b"".join(parts)
     assert [r[4] is not None for r in warc.salvage(whole)] == [True] * 4
     broken = bytearray(whole)
-    at = len(parts[0]) + len(parts[1]) // 2
+    at = len(parts[0]) + len(parts[1]) - 30
     broken[at:at + 3] = b"\xff\xfe\xfd"
     for data, gaps, kept in (
             (bytes(broken), [(len(parts[0]), len(parts[0]) + len(parts[1]))], 3),

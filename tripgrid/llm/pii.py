@@ -21,6 +21,8 @@ Null texts stay null; texts without entities stay as they are. Repeated rows are
 
 from pyspark.sql import functions as F
 
+from .common import fenced
+
 # Titles and the gender they tell; names follow a title, at most two words.
 TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Г-жа", "Госпожа"),
@@ -246,6 +248,6 @@ def pseudonymized(documents, key, staging):
     counts = F.create_map(*[x for kind in KINDS for x in (
         F.lit(kind), F.coalesce(F.size(F.filter("_mentions", lambda m: m["kind"] == kind)), F.lit(0)))])
     counts = F.transform_values(counts, lambda _, n: F.greatest(n, F.lit(0)))
-    out = marked.withColumn("entity_counts", counts).withColumn(
-        "text", F.when(F.col("_mentions").isNotNull(), replaced).otherwise(text)).drop("_mentions")
+    out = fenced(marked, ("_mentions",), text=F.when(F.col("_mentions").isNotNull(), replaced).otherwise(text),
+                 entity_counts=counts)
     return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in documents.columns else out

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Window, functions as F
 
-from .common import ROW, whole_text
+from .common import ROW, fenced, whole_text
 
 # Sub-patterns with more alternatives than this end a literal run instead of branching it.
 MOST_BRANCHES = 48
@@ -219,21 +219,24 @@ def masked(documents, rules=RULES, mask="[REDACTED]"):
     Null texts stay null.
     """
     index = TrigramIndex(rules)
-    shown = documents.withColumn("_postings", index.postings(whole_text(F.col("text"))))
-    for rule in rules:
-        text, regex = F.col("text"), F.lit(rule.regex)
-        hit = index.candidate(rule.kind, F.col("_postings")) & F.rlike(text, regex)
-        found = F.regexp_extract_all(text, regex, F.lit(0))
-        judged = F.regexp_extract_all(text, regex, F.lit(rule.group)) if rule.group else found
-
-        def rebuilt(z):
+    scanned = F.array_compact(F.array(*[
+        F.when(index.candidate(rule.kind, F.col("_postings")), F.struct(
+            F.lit(rule.regex).alias("regex"), F.lit(rule.group).alias("group"), F.lit(rule.least).alias("least")))
+        for rule in rules]))
+
+    def rebuilt(text, rule):
+        found = F.regexp_extract_all(text, rule["regex"], F.lit(0))
+        judged = F.regexp_extract_all(text, rule["regex"], rule["group"])
+
+        def piece(z):
             head = F.substring(z["match"], F.lit(1), F.char_length(z["match"]) - F.char_length(z["judged"]))
-            seen = F.when(F.char_length(z["judged"]) >= rule.least, F.concat(head, F.lit(mask))).otherwise(z["match"])
+            seen = F.when(F.char_length(z["judged"]) >= rule["least"], F.concat(head, F.lit(mask))).otherwise(z["match"])
             return F.concat(z["gap"], F.coalesce(seen, F.lit("")))
 
-        pieces = F.arrays_zip(
-            F.split(text, rule.regex, -1).alias("gap"), found.alias("match"), judged.alias("judged"))
-        shown = shown.withColumn(
-            "text", F.when(hit, F.array_join(F.transform(pieces, rebuilt), "")).otherwise(text))
-    shown = shown.drop("_postings")
+        cut = F.arrays_zip(F.split(text, rule["regex"], -1).alias("gap"), found.alias("match"), judged.alias("judged"))
+        return F.when(F.rlike(text, rule["regex"]), F.array_join(F.transform(cut, piece), "")).otherwise(text)
+
+    # One fold over a document's candidate rules, rather than a chain of columns.
+    read = documents.withColumn("_postings", index.postings(whole_text(F.col("text"))))
+    shown = fenced(read, ("_postings",), text=F.aggregate(scanned, F.col("text"), rebuilt))
     return shown.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in documents.columns else shown
