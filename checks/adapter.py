@@ -2,10 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from tripgrid.fixed_values import ROUTE_GROUPS
 from tripgrid.schemas import STOP_KEY, STOP_ORDER, TRIP_STOPS
 from tripgrid.sources import Staging
 
 ROUTES = ["1", "1L", "24", "18", "51", "52", "7", "99", "Car", None]
+# Every route that is printed, one that is not, and none.
+ALL_ROUTES = [*(route for routes in ROUTE_GROUPS.values() for route in routes), "Car", None]
 DIRECTIONS = ["North", "East", "West", "East", "West"]
 OP_DAYS = ["Weekday", "Saturday", "Sunday"]
 
@@ -14,7 +17,7 @@ def _pick(values, index):
     return F.get(F.array(*map(F.lit, values)), index.cast("int"))
 
 
-def trip_stops(spark, sf_dir):
+def trip_stops(spark, sf_dir, routes=ROUTES):
     """One row per line item; ``id`` is the name of the file it came from."""
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     key, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
@@ -25,7 +28,7 @@ def trip_stops(spark, sf_dir):
     clock = F.concat(clock_hour.cast("string"), F.lpad((F.col("_minute") % 60).cast("string"), 2, "0"), meridian)
     columns = {
         "trp_number_trim": key.cast("string"),
-        "route": _pick(ROUTES, key % 10),
+        "route": _pick(routes, key % len(routes)),
         "direction": _pick(DIRECTIONS, F.expr("l_orderkey div 10") % 5),
         "place": F.concat(F.lit("P"), line),
         "stop": (100 * line + F.col("l_suppkey") % 2).cast("string"),
@@ -39,10 +42,10 @@ def trip_stops(spark, sf_dir):
     )
 
 
-def stop_order(spark, sf_dir):
+def stop_order(spark, sf_dir, routes=ROUTES):
     """The sheet lists every served stop but those of the seventh line; staged, as it is small."""
     served = (
-        trip_stops(spark, sf_dir).filter("route is not null and not startswith(stop, '7')")
+        trip_stops(spark, sf_dir, routes).filter("route is not null and not startswith(stop, '7')")
         .select(*STOP_KEY).distinct()
     )
     tenths = F.concat(F.expr("cast(stop as int) div 10"), F.lit("."), F.expr("cast(stop as int) % 10"))

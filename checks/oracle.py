@@ -1,11 +1,24 @@
 """The SQL each query's result must equal, written for DuckDB independently of the Spark plans."""
 
-from tripgrid.fixed_values import ROUTE_GROUPS
-
-_PAIRS = ", ".join(f"('{g}', '{r}')" for g, routes in ROUTE_GROUPS.items() for r in routes)
+# The groups with more than one route, and those that are their only route.
+_MERGED = {"1": ["1", "1L"], "24": ["24", "18"], "51": ["51", "52"]}
+_SINGLE = (
+    "2 3 7 9 10 13 14 15 16 23 31 40 41 42 44 54 60 61 66 67 69 73 80A 81 83 84 84A 93 94 99 "
+    "411 413 432 434 501 504 671 672 673 674 A C"
+).split()
+_GROUPS = _MERGED | {route: [route] for route in _SINGLE}
+_PAIRS = ", ".join(f"('{g}', '{r}')" for g, routes in _GROUPS.items() for r in routes)
 # Stops of the lineitem adapter that the sheet lists: lines 1 to 6, two stops each.
 _LABELS = [f"St. {line}, N - {100 * line + side}" for line in range(1, 7) for side in (0, 1)]
 
+_FEW = """case l_orderkey % 10 when 0 then '1' when 1 then '1L' when 2 then '24' when 3 then '18'
+      when 4 then '51' when 5 then '52' when 6 then '7' when 7 then '99' when 8 then 'Car' end"""
+# The adapter numbers all routes as the groups are printed: 48, then the one that is not printed.
+_PRINTED = (
+    "1 1L 2 3 7 9 10 13 14 15 16 23 24 18 31 40 41 42 44 51 52 54 60 61 66 67 69 73 80A 81 83 84 84A 93 94 99 "
+    "411 413 432 434 501 504 671 672 673 674 A C Car"
+).split()
+_ALL = "case l_orderkey % 50 " + " ".join(f"when {i} then '{r}'" for i, r in enumerate(_PRINTED)) + " end"
 _CTES = f"""
 with minutes as (
   select *, 270 + (l_orderkey * 37) % 1380 + 4 * l_linenumber
@@ -15,8 +28,7 @@ with minutes as (
 trip_stops as (
   select 'lineitem.parquet' as id,
     cast(l_orderkey as varchar) as trp_number_trim,
-    case l_orderkey % 10 when 0 then '1' when 1 then '1L' when 2 then '24' when 3 then '18'
-      when 4 then '51' when 5 then '52' when 6 then '7' when 7 then '99' when 8 then 'Car' end as route,
+    {_FEW} as route,
     case (l_orderkey // 10) % 5 when 0 then 'North' when 1 then 'East' when 3 then 'East' else 'West' end
       as direction,
     'P' || l_linenumber as place,
@@ -154,8 +166,10 @@ def _csv(column):
 
 
 _QUERIES = {
-    "scan_text_dir": f"select {_TRIP_STOPS} from trip_stops",
-    "stack_files": f"select op_day || '.csv' as id, {_TRIP_STOPS} from trip_stops",
+    "scan_text_dir": f"""
+        select {_TRIP_STOPS.replace("stop_name", "replace(stop_name, 'St.', '\"St.\"') as stop_name")} from trip_stops""",
+    "stack_files": f"select coalesce(op_day, 'other') || '.csv' as id, {_TRIP_STOPS} from trip_stops",
+    "base_csv": "select * replace (nullif(evt_sta, '') as evt_sta) from base",
     "write_timetable": "select * from rows",
     "write_timetable_csv": f"""
         select route_group, direction,
@@ -180,7 +194,7 @@ _QUERIES = {
           on c.route = s.route and c.direction = s.direction and c.stop = s.stop""",
     "restore_display": f"""
         select distinct g.trp_op_day, g.route, g.direction, g.evt_sta, g.stop_info, b.departure_save
-        from one_grid g left join base b
+        from grid g left join base b
           on g.trp_op_day = b.trp_op_day and g.route = b.route and g.direction = b.direction
           and g.evt_sta = b.evt_sta and g.stop_info = b.stop_info
           and g.dep_time_24h is not distinct from b.dep_time_24h""",
@@ -227,10 +241,16 @@ _QUERIES = {
     "timetable_merged_routes": """
         select * from rows where route_group in (
           select route_group from route_groups group by route_group having count(*) > 1)""",
-    "cell_conflicts": """
-        select route_group, direction, trp_op_day, route, evt_sta, stop_info,
-          dep_time_24h as earliest_time, latest_time
-        from cells where dep_time_24h < latest_time""",
+    "cell_conflicts": """, ordered as (
+          select route_group, direction, trp_op_day, route, evt_sta, stop_info, dep_time_24h as t, departure_save as d,
+            row_number() over (partition by all_keys order by dep_time_24h nulls last, departure_save nulls last) as nth,
+            count(*) over (partition by all_keys) as n
+          from (select distinct route_group, direction, trp_op_day, route, evt_sta, stop_info, dep_time_24h, departure_save,
+              (route_group, direction, trp_op_day, route, evt_sta, stop_info) as all_keys from printed))
+        select a.route_group, a.direction, a.trp_op_day, a.route, a.evt_sta, a.stop_info,
+          a.t as earliest_time, b.t as latest_time, a.d as earliest_display, b.d as latest_display
+        from ordered a join ordered b using (route_group, direction, trp_op_day, route, evt_sta, stop_info)
+        where a.nth = 1 and a.n > 1 and b.nth = b.n""",
     "unparsed_departures": """
         select route, direction, departure, count(*) as row_count
         from split where departure is not null and not readable group by all""",
@@ -238,15 +258,16 @@ _QUERIES = {
         select * from (
           select c.route, c.direction, c.stop, c.row_count,
             s.stop is null as not_in_stop_order,
-            c.route not in (select route from route_groups) as route_not_grouped,
-            c.direction not in ('East', 'West') as direction_not_printed
-          from (select route, direction, stop, count(*) as row_count from clean group by all) c
+            coalesce(c.route not in (select route from route_groups), true) as route_not_grouped,
+            coalesce(c.direction not in ('East', 'West'), true) as direction_not_printed
+          from (select route, direction, stop, count(*) as row_count from trip_stops group by all) c
           left join (select distinct route, direction, stop from stop_order) s
             on c.route = s.route and c.direction = s.direction and c.stop = s.stop)
         where not_in_stop_order or route_not_grouped or direction_not_printed""",
 }
 
 ORACLE = {name: _CTES + sql for name, sql in _QUERIES.items()}
+ORACLE |= {f"{name}_all": _CTES.replace(_FEW, _ALL) + _QUERIES[name] for name in ("route_groups", "trip_ranks", "timetable_rows")}
 ORACLE["scan_provenance"] = " union all ".join(
     f"select '{t}.parquet' as id, count(*) as row_count from {t}" for t in TABLES
 )

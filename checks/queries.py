@@ -14,18 +14,17 @@ from tripgrid.plans import (
 )
 from tripgrid.schemas import BASE, GRID, STOP_KEY, TRIP_STOPS, WIDE_IDS
 from tripgrid.sources import (
-    Staging, scan_folder, scan_text_dir, timetable_lines, write_csv, write_timetable,
-    write_timetable_lines,
+    Staging, scan_folder, scan_text_dir, write_csv, write_timetable, write_timetable_lines,
 )
 
-from .adapter import stop_order, trip_stops
+from .adapter import ALL_ROUTES, ROUTES, stop_order, trip_stops
 
 # The grid that the one-grid operators (wide tables) are shown on: two merged routes.
 GROUP, DIRECTION = "24", "East"
 
 
-def _timetable(spark, sf_dir, **options):
-    return Timetable(trip_stops(spark, sf_dir), stop_order(spark, sf_dir), **options)
+def _timetable(spark, sf_dir, routes=ROUTES, **options):
+    return Timetable(trip_stops(spark, sf_dir, routes), stop_order(spark, sf_dir, routes), **options)
 
 
 def _one_grid(spark, sf_dir):
@@ -43,9 +42,10 @@ def _clean(spark, sf_dir):
 # Sources and sinks
 
 def scan_text_dir_query(spark, sf_dir):
-    """The export as text files and back."""
+    """The export as text files and back, with quotes in the stop names."""
     folder = Staging(spark).path("export")
-    write_csv(trip_stops(spark, sf_dir).select(*TRIP_STOPS), folder)
+    export = trip_stops(spark, sf_dir).withColumn("stop_name", F.replace("stop_name", F.lit("St."), F.lit('"St."')))
+    write_csv(export.select(*TRIP_STOPS), folder)
     return scan_text_dir(spark, folder, TRIP_STOPS).select(*TRIP_STOPS)
 
 
@@ -55,10 +55,11 @@ def scan_provenance(spark, sf_dir):
 
 
 def stack_files(spark, sf_dir):
-    """One export per operating day, stacked."""
+    """One export per operating day and one of rows without a day, stacked."""
     export = trip_stops(spark, sf_dir).select(*TRIP_STOPS)
     days = ["Weekday", "Saturday", "Sunday"]
-    return stack({f"{day}.csv": export.filter(F.col("op_day") == day) for day in days})
+    other = ~F.coalesce(F.col("op_day").isin(days), F.lit(False))
+    return stack({f"{day}.csv": export.filter(F.col("op_day") == day) for day in days} | {"other.csv": export.filter(other)})
 
 
 def write_timetable_query(spark, sf_dir):
@@ -71,14 +72,22 @@ def write_timetable_query(spark, sf_dir):
 
 def write_timetable_csv(spark, sf_dir):
     """All grids written as CSV text, header line first, and read back."""
-    timetable = _timetable(spark, sf_dir)
     folder = Staging(spark).path("timetable_csv")
-    write_timetable_lines(timetable_lines(timetable.rows, timetable.headers), folder)
+    write_timetable_lines(_timetable(spark, sf_dir).lines, folder, in_order=True)
     return spark.read.schema("value string, route_group string, direction string").text(folder).select(
         *GRID, F.col("value").alias("line")
     )
 
 
+def base_csv(spark, sf_dir):
+    """The base table written as CSV and read back; blank cells come back null."""
+    folder = Staging(spark).path("base_csv")
+    write_csv(_base(spark, sf_dir).select(*BASE), folder)
+    numbers = {"dep_time_24h", "stop_order"}
+    back = scan_text_dir(spark, folder, BASE)
+    return back.select(*[F.col(c).cast("double") if c in numbers else F.col(c) for c in BASE])
+
+
 # Filters, projections and joins
 
 def clean_trip_stops_query(spark, sf_dir):
@@ -102,8 +111,13 @@ def attach_stop_order_query(spark, sf_dir):
 
 
 def restore_display(spark, sf_dir):
-    """Printed times of one grid, found again by joining its long form to the base table."""
-    shown = natural_left_join(unpivot_times(spark, sf_dir), _base(spark, sf_dir))
+    """Printed times of all grids, found again by joining their long form to the base table."""
+    timetable = _timetable(spark, sf_dir)
+    long = natural_left_join(
+        timetable.timetable_cells.select(*GRID, "trp_op_day", "route", "evt_sta", "stop_info"),
+        timetable.cells.select(*GRID, "trp_op_day", "route", "evt_sta", "stop_info", "dep_time_24h"),
+    )
+    shown = natural_left_join(long.select(*WIDE_IDS, "stop_info", "dep_time_24h"), _base(spark, sf_dir))
     return shown.select(*WIDE_IDS, "stop_info", "departure_save").distinct()
 
 
@@ -227,6 +241,23 @@ def timetable_merged_routes(spark, sf_dir):
     return _printed(_timetable(spark, sf_dir, groups=merged).rows)
 
 
+# All 45 groups in both directions
+
+def route_groups_all(spark, sf_dir):
+    counted = clean_trip_stops(trip_stops(spark, sf_dir, ALL_ROUTES)).groupBy("route").agg(
+        F.count(F.lit(1)).alias("row_count"))
+    return route_groups(spark).join(counted, "route", "left").select(
+        "route_group", "route", F.coalesce("row_count", F.lit(0)).alias("row_count"))
+
+
+def trip_ranks_all(spark, sf_dir):
+    return _timetable(spark, sf_dir, ALL_ROUTES).trips
+
+
+def timetable_rows_all(spark, sf_dir):
+    return _printed(_timetable(spark, sf_dir, ALL_ROUTES).rows)
+
+
 # Audits
 
 def cell_conflicts(spark, sf_dir):
@@ -247,6 +278,10 @@ QUERIES = {
     "stack_files": stack_files,
     "write_timetable": write_timetable_query,
     "write_timetable_csv": write_timetable_csv,
+    "base_csv": base_csv,
+    "route_groups_all": route_groups_all,
+    "trip_ranks_all": trip_ranks_all,
+    "timetable_rows_all": timetable_rows_all,
     "clean_trip_stops": clean_trip_stops_query,
     "filter_route_group": filter_route_group_query,
     "select_columns": select_columns_query,

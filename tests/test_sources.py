@@ -48,6 +48,66 @@ def test_another_number_of_columns_fails(spark, tmp_path, line):
         scan_text_dir(spark, str(folder), ["route", "stop"]).select("route").collect()
 
 
+def test_quotes_in_cells(spark, tmp_path):
+    folder = tmp_path / "in"
+    _file(folder, "a.csv", "Route,Stop Name,Stop", '1,"Main ""A"" St",10', '2,"Main ""A"" St, N",20')
+    found = sorted(map(tuple, scan_text_dir(spark, str(folder)).collect()))
+    assert found == [("a.csv", "1", 'Main "A" St', "10"), ("a.csv", "2", 'Main "A" St, N', "20")]
+    write_csv(scan_text_dir(spark, str(folder)).select("stop_name"), str(tmp_path / "out"))
+    texts = "".join(f.read_text() for f in (tmp_path / "out").glob("*.csv"))
+    assert '"Main ""A"" St, N"' in texts
+
+
+def test_line_breaks_in_cells(spark, tmp_path):
+    folder = tmp_path / "in"
+    _file(folder, "a.csv", "Route,Stop Name", '1,"Main', 'St"')
+    assert scan_text_dir(spark, str(folder), multi_line=True).first()["stop_name"] == "Main\nSt"
+
+
+def test_headers_must_agree_unless_names_are_given(spark, tmp_path):
+    folder = tmp_path / "in"
+    _file(folder, "a.csv", "Route,Stop", "1,10")
+    _file(folder, "b.csv", "Stop,Route", "20,2")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_text_dir(spark, str(folder)).collect()
+    assert scan_text_dir(spark, str(folder), ["route", "stop"]).count() == 2
+
+
+def test_headers_with_dots(spark, tmp_path):
+    folder = tmp_path / "in"
+    _file(folder, "a.csv", 'Route,Veh. Type,"St. 1, N"', "1,bus,x")
+    found = scan_text_dir(spark, str(folder))
+    assert found.columns == ["id", "route", "Veh. Type", "St. 1, N"]
+    assert tuple(found.first()) == ("a.csv", "1", "bus", "x")
+    assert tuple(stack({"1": found, "2": found}).first())[1:] == ("a.csv", "1", "bus", "x")
+
+
+def test_printed_lines_can_be_read_back(spark, tmp_path):
+    rows = fx.trip("T1", "24", [("10", '5 "a", late')])
+    grid = _timetable(spark, rows, {"24": ["24", "18"]})
+    write_timetable_lines(grid.lines, str(tmp_path / "out"), in_order=True)
+    (folder,) = (tmp_path / "out").glob("*/*")
+    back = scan_text_dir(spark, str(folder), glob="*.txt")
+    assert tuple(back.first())[1:] == ("T1 - Weekday", "24", "East", None, '5 "a", late')
+
+
+def test_a_rebuild_leaves_no_outdated_grid(spark, tmp_path):
+    split = {"18": ["18"], "24": ["24"]}
+    for number, write in enumerate((
+            lambda t, path: write_timetable(t.rows, path, rebuild=True),
+            lambda t, path: write_timetable_lines(t.lines, path, rebuild=True, in_order=True))):
+        path = tmp_path / str(number)
+        write(_timetable(spark, fx.GRID_TRIPS, split), str(path))
+        assert {p.name for p in path.glob("route_group=*")} == {"route_group=18", "route_group=24"}
+        write(_timetable(spark, fx.trip("T9", "18", [("10", "900a")]), split), str(path))
+        assert {p.name for p in path.glob("route_group=*")} == {"route_group=18"}
+
+
+def test_many_tables_stack(spark):
+    one = spark.createDataFrame([("a",)], "x string")
+    assert stack({str(n): one for n in range(33)}).select("id").distinct().count() == 33
+
+
 def test_stack(spark):
     one = spark.createDataFrame([("a", "b")], "x string, y string")
     two = spark.createDataFrame([("c", "d")], "p string, q string")
@@ -107,8 +167,13 @@ def test_written_grids_replace_their_own_folder_only(spark, tmp_path):
 
 def test_printed_files_start_with_their_header(spark, tmp_path):
     grid = _timetable(spark, fx.GRID_TRIPS, {"24": ["24", "18"]})
-    path = tmp_path / "out"
-    write_timetable_lines(timetable_lines(grid.rows, grid.headers), str(path))
+    path, again = tmp_path / "out", tmp_path / "again"
+    write_timetable_lines(grid.lines, str(path), in_order=True)
+    write_timetable_lines(timetable_lines(grid.rows, grid.headers), str(again))
+    printed, sorted_again = (
+        [line for f in sorted((p / "route_group=24" / "direction=East").glob("part-*.txt")) for line in f.read_text().splitlines()]
+        for p in (path, again))
+    assert printed == sorted_again
     files = sorted((path / "route_group=24" / "direction=East").glob("part-*.txt"))
     lines = [line for f in files for line in f.read_text().splitlines()]
     assert lines[0] == '"trp_op_day","route","direction","evt_sta","Depot - 30","Main St. - 10","Elm, N - 20"'

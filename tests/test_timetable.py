@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.adapter import stop_order as adapter_order, trip_stops as adapter_stops
 from tests import fixtures as fx
-from tripgrid import ConflictingCells, Timetable, WideGridTooLarge
+from tripgrid import ConflictingCells, Timetable
 from tripgrid.operators import attach_stop_order, joining
 from tripgrid.plans import coverage_gaps, unparsed_departures
 
@@ -67,12 +67,34 @@ def test_conflicting_cell_keeps_the_earliest(spark):
     grid = _grid(spark, rows=rows)
     assert _rows(grid) == [(1, "T1 - Weekday", "24", "", ["1159a"])]
     conflict = grid.conflicts.collect()
-    assert [(c.stop_info, c.earliest_time, c.latest_time) for c in conflict] == [("Main St. - 10", 1159.0, 1300.0)]
+    assert [tuple(c)[5:] for c in conflict] == [("Main St. - 10", 1159.0, None, "1159a", "noon")]
     with pytest.raises(ConflictingCells):
         _grid(spark, rows=rows, on_conflict="error").cells
     assert _grid(spark, on_conflict="error").rows.count() == 5
 
 
+@pytest.mark.parametrize("first, second, shown", [
+    ("500a", "noon", (500.0, None, "500a", "noon")), ("0530a", "530a", (530.0, 530.0, "0530a", "530a")),
+    ("5:30p", "noon", (None, None, "5:30p", "noon")), ("500a", None, (500.0, None, "500a", None)),
+])
+def test_no_text_of_a_cell_is_lost_silently(spark, first, second, shown):
+    for pair in ([("10", first), ("10", second)], [("10", second), ("10", first)]):
+        rows = fx.trip("T1", "24", [*pair, ("20", "600a")])
+        assert [tuple(c)[6:] for c in _grid(spark, rows=rows).conflicts.collect()] == [shown]
+        with pytest.raises(ConflictingCells):
+            _grid(spark, rows=rows, on_conflict="error").cells
+
+
+def test_trips_and_lines_share_one_table_of_trips(spark):
+    """Whatever is asked first, trips are aggregated once and ranked once."""
+    for names in (["trips", "rows", "lines"], ["lines", "rows", "trips"]):
+        grid = _grid(spark)
+        for name in names:
+            getattr(grid, name).collect()
+        root = Path(grid._staging.root.removeprefix("file:"))
+        assert len(list(root.glob("trips-*"))) == len(list(root.glob("sorted_by_trip_rank-*"))) == 1
+
+
 def test_zero_is_not_counted_and_leftmost_wins_without_counts(spark):
     rows = [*fx.trip("T1", "24", [("10", "0a"), ("20", "0a")]), *fx.trip("T2", "24", [("20", "0a")])]
     stops = {r.stop_info: (r.cnt, r.is_anchor) for r in _grid(spark, rows=rows).stops.collect()}
@@ -110,10 +132,18 @@ def test_custom_groups_and_directions(spark):
     assert found == {("x", "North"): 1, ("x", "East"): 4, ("y", "North"): 1, ("y", "East"): 5}
 
 
-def test_too_many_stops_for_a_wide_grid(spark, setting):
+def test_a_wide_grid_of_any_width(spark, setting):
     setting("spark.sql.pivotMaxValues", "2")
-    with pytest.raises(WideGridTooLarge):
-        _grid(spark).wide("24", "East")
+    stops = [str(n) for n in range(100, 400)]
+    rows = fx.trip("T1", "24", [(stop, "500a") for stop in stops])
+    wide = _grid(spark, rows=rows, order=[("24", "East", stop, stop) for stop in stops]).wide("24", "East")
+    assert wide.columns[5:] == [f"Stop {stop} - {stop}" for stop in stops]
+    assert wide.first()[5:] == ("500a",) * 300
+
+
+def test_no_groups(spark):
+    grid = _grid(spark, groups={})
+    assert grid.rows.count() == 0 and grid.headers.count() == 0
 
 
 def _plan(df):
@@ -202,7 +232,7 @@ def test_known_sizes(spark, adapted, sf_dir):
         pytest.skip("sizes are known for one scale")
     assert adapted.timetable_cells.count() == 111_636
     assert adapted.trips.count() == 9_303
-    assert adapted.conflicts.count() == 181
+    assert adapted.conflicts.count() == 527
 
 
 def test_audits(spark):
@@ -211,9 +241,11 @@ def test_audits(spark):
     gaps = {(r.route, r.direction, r.stop): tuple(r)[3:] for r in coverage_gaps(rows, order).collect()}
     assert gaps == {
         ("24", "East", "40"): (1, True, False, False), ("24", "North", "10"): (1, False, False, True),
+        ("Car", "East", "10"): (1, True, True, False), (None, "East", "10"): (1, True, True, False),
     }
     ungrouped = coverage_gaps(rows, order, groups={"24": ["24"]}).filter("route_not_grouped")
-    assert {(r.route, r.stop) for r in ungrouped.collect()} == {("18", "30"), ("18", "10")}
+    assert {(r.route, r.stop) for r in ungrouped.collect()} == {
+        ("18", "30"), ("18", "10"), ("Car", "10"), (None, "10")}
 
 
 def test_staged_tables_can_be_removed(spark, tmp_path):

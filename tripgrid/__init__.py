@@ -1,5 +1,5 @@
 """Public-transit timetables as Spark jobs."""
 
-from .plans import ConflictingCells, Timetable, WideGridTooLarge, timetable_base
+from .plans import ConflictingCells, Timetable, timetable_base
 
-__all__ = ["ConflictingCells", "Timetable", "WideGridTooLarge", "timetable_base"]
+__all__ = ["ConflictingCells", "Timetable", "timetable_base"]

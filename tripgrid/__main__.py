@@ -5,13 +5,16 @@ import argparse
 from pyspark.sql import SparkSession
 
 from .plans import Timetable
-from .sources import scan_text_dir, timetable_lines, write_timetable_lines
+from .sources import scan_text_dir, write_timetable_lines
 
 
 def print_timetables(spark, exports, sheets, output, **options):
-    """Read the exports and stop-order sheets, and write one folder of CSV text per grid."""
+    """Read the exports and stop-order sheets, and write one folder of CSV text per grid.
+
+    A full rebuild: grids without rows do not stay from earlier runs.
+    """
     with Timetable(scan_text_dir(spark, exports), scan_text_dir(spark, sheets), **options) as timetable:
-        write_timetable_lines(timetable_lines(timetable.rows, timetable.headers), output)
+        write_timetable_lines(timetable.lines, output, rebuild=True, in_order=True)
 
 
 def main():

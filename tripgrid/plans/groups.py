@@ -4,12 +4,15 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..fixed_values import DIRECTIONS, ROUTE_GROUPS
+from ..operators import bounded
 
 
 def route_groups(spark, groups=ROUTE_GROUPS):
     """(route_group, route) table of a ``{group: [routes]}`` mapping."""
-    names, routes = zip(*[(group, route) for group, members in groups.items() for route in members])
-    return spark.createDataFrame(pa.table({"route_group": names, "route": routes}))
+    pairs = [(group, route) for group, members in groups.items() for route in members]
+    names, routes = zip(*pairs) if pairs else ((), ())
+    columns = {"route_group": pa.array(names, pa.string()), "route": pa.array(routes, pa.string())}
+    return spark.createDataFrame(pa.table(columns))
 
 
 def printed_rows(df, groups=ROUTE_GROUPS, directions=DIRECTIONS):
@@ -19,5 +22,5 @@ def printed_rows(df, groups=ROUTE_GROUPS, directions=DIRECTIONS):
 
 
 def with_route_group(df, groups=ROUTE_GROUPS):
-    """Add ``route_group``. The mapping is a Python literal, hence small enough to broadcast."""
-    return df.join(F.broadcast(route_groups(df.sparkSession, groups)), "route")
+    """Add ``route_group``; the mapping is broadcast if its size allows it."""
+    return df.join(bounded(route_groups(df.sparkSession, groups)), "route")

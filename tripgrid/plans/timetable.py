@@ -9,17 +9,13 @@ from ..fixed_values import DIRECTIONS, EMPTY_CELL, ROUTE_GROUPS
 from ..functions import aligned_cells
 from ..operators import bounded, ranked
 from ..schemas import CELL, GRID, TRIP, WIDE_IDS
-from ..sources import Staging
+from ..sources import Staging, csv_line
 from .base import base_rows
 from .groups import printed_rows, with_route_group
 
 
 class ConflictingCells(ValueError):
-    """A trip calls at the same stop at different times."""
-
-
-class WideGridTooLarge(ValueError):
-    """A grid has more stops than a table should have columns."""
+    """A trip has several times or texts at the same stop."""
 
 
 class Timetable:
@@ -33,8 +29,8 @@ class Timetable:
     * ``rows``: one row per trip with a header-aligned array of printed times;
     * ``timetable_cells``: the same, one row per cell; ``wide``: one grid, one column per stop.
 
-    A cell with several times keeps the earliest (``conflicts`` lists them), unless ``on_conflict``
-    is ``"error"``. Use it as a context manager to remove the staged tables at the end.
+    A cell with several times or texts keeps the earliest (``conflicts`` lists them), unless
+    ``on_conflict`` is ``"error"``. Use it as a context manager to remove the staged tables at the end.
     """
 
     def __init__(self, trip_stops, stop_order, groups=ROUTE_GROUPS, directions=DIRECTIONS,
@@ -59,32 +55,32 @@ class Timetable:
         ``first_order`` and ``first_time`` only sort; there, NaN stands for null and comes last.
         """
         base = printed_rows(
-            base_rows(self.trip_stops, self.stop_order, self.strict_midnight), self.groups, self.directions
+            base_rows(self.trip_stops, self.stop_order, self.strict_midnight, self._staging), self.groups, self.directions
         )
         text, time = F.col("departure_save"), _null_last("dep_time_24h")
+        entry = F.struct(time.alias("time"), text.isNull(), text.alias("text"))
         merged = base.groupBy(*[c for c in CELL if c != "route_group"]).agg(
-            F.min(F.struct(time.alias("time"), text.isNull(), text.alias("text"))).alias("shown"),
+            F.min(entry).alias("shown"), F.max(entry).alias("last"),
             F.min(F.struct(_null_last("stop_order").alias("order"), time.alias("time"))).alias("seen"),
-            F.max("dep_time_24h").alias("latest_time"),
         )
-        shown_time = F.col("shown.time")
         cells = self._staging.table(
             with_route_group(merged, self.groups).select(
-                *CELL, F.when(~F.isnan(shown_time), shown_time).alias("dep_time_24h"),
+                *CELL, _no_nan("shown.time").alias("dep_time_24h"),
                 F.col("shown.text").alias("display"), F.col("seen.order").alias("first_order"),
-                F.col("seen.time").alias("first_time"), "latest_time",
+                F.col("seen.time").alias("first_time"), _no_nan("last.time").alias("latest_time"),
+                F.col("last.text").alias("latest_display"),
             ),
             "cells",
         )
         if self.on_conflict == "error":
             example = _conflicts(cells).first()
             if example:
-                raise ConflictingCells(f"several times in one cell, for example {example}")
+                raise ConflictingCells(f"several times or texts in one cell, for example {example}")
         return cells
 
     @cached_property
     def conflicts(self):
-        """Cells with more than one time."""
+        """Cells with more than one pair of time and text, a missing one included."""
         return _conflicts(self.cells)
 
     @cached_property
@@ -131,34 +127,43 @@ class Timetable:
         header = bounded(self._header.drop("cnt"))
         return self.cells.join(header, [*GRID, "stop_info"]).repartition(*TRIP).groupBy(*TRIP)
 
-    def _ranked(self, *collected):
+    @cached_property
+    def _trips(self):
+        """One row per trip, staged: sorting reads it twice, and ranks and printed lines share it."""
+        # A trip has at most one entry per header column, which bounds what is collected for it.
+        entry = F.when(F.col("display").isNotNull(), F.struct("stop_pos", "display"))
         trips = self._cells_by_trip().agg(
             F.max(F.when(F.col("is_anchor"), F.col("dep_time_24h"))).alias("anchor_time"),
             F.min(F.struct("first_order", "first_time")).alias("first_seen"),
-            *collected,
+            F.collect_list(entry).alias("entries"), F.max("width").alias("width"),
         )
-        order = [F.col("anchor_time").asc_nulls_last(), "route", "first_seen", "trp_op_day", "evt_sta"]
-        return ranked(trips, self._staging, GRID, order, "trip_rank")
+        return self._staging.table(trips, "trips")
 
     @cached_property
     def _filled_trips(self):
-        # A trip has at most one entry per header column, which bounds what is collected for it.
-        entry = F.when(F.col("display").isNotNull(), F.struct("stop_pos", "display"))
-        return self._ranked(F.collect_list(entry).alias("entries"), F.max("width").alias("width"))
+        return ranked(self._trips, self._staging, GRID, _trip_order(), "trip_rank")
 
     @cached_property
     def trips(self):
         """Trips of each grid, ranked; those that miss the anchor stop come last."""
-        trips = self._filled_trips if "_filled_trips" in self.__dict__ else self._ranked()
-        return trips.select(*GRID, "trp_op_day", "route", "evt_sta", "anchor_time", "trip_rank")
+        return self._filled_trips.select(*GRID, "trp_op_day", "route", "evt_sta", "anchor_time", "trip_rank")
 
     @cached_property
     def rows(self):
         """Ranked trips with ``cells``, an array of printed times aligned to the grid's header."""
-        return self._filled_trips.select(
-            *GRID, "trip_rank", "trp_op_day", "route", "evt_sta",
-            aligned_cells(F.col("entries"), F.col("width").cast("int"), EMPTY_CELL).alias("cells"),
+        return self._filled_trips.select(*GRID, "trip_rank", "trp_op_day", "route", "evt_sta", _printed_cells())
+
+    @cached_property
+    def lines(self):
+        """Printed CSV lines of all grids in printing order: one sort of trips and header lines."""
+        trips = self._trips.withColumn("cells", _printed_cells()).select(
+            *GRID, "anchor_time", "route", "first_seen", "trp_op_day", "evt_sta", F.lit(1).alias("part"),
+            csv_line(F.concat(F.array(*WIDE_IDS), "cells")).alias("line"),
         )
+        titles = self.headers.select(*GRID, F.lit(0).alias("part"), csv_line(
+            F.concat(F.array(*map(F.lit, WIDE_IDS)), "stop_infos")).alias("line"))
+        both = titles.unionByName(trips, allowMissingColumns=True)
+        return both.orderBy(*GRID, "part", *_trip_order()).select(*GRID, "line")
 
     @cached_property
     def timetable_cells(self):
@@ -173,13 +178,9 @@ class Timetable:
         )
 
     def header(self, group, direction):
-        """Stops of one grid as a list; refuses grids too wide for a table."""
-        limit = int(self.stops.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-        one = self.stops.filter((F.col("route_group") == group) & (F.col("direction") == direction))
-        stops = one.orderBy("stop_pos").limit(limit + 1).collect()
-        if len(stops) > limit:
-            raise WideGridTooLarge(f"{group} {direction} has more than {limit} stops; use rows instead")
-        return [s["stop_info"] for s in stops]
+        """Stops of one grid as a list, from its one row of ``headers``."""
+        one = self.headers.filter((F.col("route_group") == group) & (F.col("direction") == direction)).first()
+        return list(one["stop_infos"]) if one else []
 
     def wide(self, group, direction):
         """One grid with one text column per stop; no rows where the grid is empty."""
@@ -195,8 +196,24 @@ def _null_last(number):
     return F.coalesce(F.col(number), F.lit(float("nan")))
 
 
+def _no_nan(number):
+    """The number behind such a sort key."""
+    return F.when(~F.isnan(number), F.col(number))
+
+
+def _trip_order():
+    """What trips of a grid are sorted by; the keys are unique within it."""
+    return [F.col("anchor_time").asc_nulls_last(), "route", "first_seen", "trp_op_day", "evt_sta"]
+
+
+def _printed_cells():
+    return aligned_cells(F.col("entries"), F.col("width").cast("int"), EMPTY_CELL).alias("cells")
+
+
 def _conflicts(cells):
-    return cells.filter(F.col("dep_time_24h") < F.col("latest_time")).select(
+    same = F.col("dep_time_24h").eqNullSafe(F.col("latest_time")) & F.col("display").eqNullSafe(F.col("latest_display"))
+    return cells.filter(~same).select(
         *GRID, "trp_op_day", "route", "evt_sta", "stop_info",
         F.col("dep_time_24h").alias("earliest_time"), "latest_time",
+        F.col("display").alias("earliest_display"), "latest_display",
     )

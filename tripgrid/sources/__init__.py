@@ -1,8 +1,8 @@
 from .folders import scan_folder, scan_text_dir
-from .sinks import timetable_lines, write_csv, write_timetable, write_timetable_lines
+from .sinks import csv_line, timetable_lines, write_csv, write_timetable, write_timetable_lines
 from .staging import Staging
 
 __all__ = [
-    "Staging", "scan_folder", "scan_text_dir", "timetable_lines", "write_csv", "write_timetable",
+    "Staging", "csv_line", "scan_folder", "scan_text_dir", "timetable_lines", "write_csv", "write_timetable",
     "write_timetable_lines",
 ]

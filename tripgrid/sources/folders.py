@@ -2,29 +2,32 @@
 
 from pyspark.sql import functions as F
 
+from ..functions import quoted
 from ..schemas import text_schema, with_spark_names
 
 FILE_NAME = "_metadata.file_name"
 
 
-def scan_text_dir(spark, path, columns=None, glob="*.csv", **options):
+def scan_text_dir(spark, path, columns=None, glob="*.csv", multi_line=False, **options):
     """Every CSV file of one folder (not its subfolders) as text, with its file name as ``id``.
 
-    Files are stacked by column position under ``columns``, or under the header of one file where
-    none are given. Texts are trimmed, blank cells are null, and a file with another number of
+    Files are stacked by column position under ``columns``. Where none are given the header of one
+    file names them, and a file with another header fails the read. Texts are trimmed, blank cells
+    are null, a doubled quote inside a quoted cell is a quote, and a file with another number of
     columns fails the read: column pruning is off, since a pruned read does not see that number.
+    ``multi_line`` allows line breaks in cells, but then a file is read by one task.
     """
     reader = spark.read.options(
-        header=True, mode="FAILFAST", columnPruning=False, pathGlobFilter=glob,
-        ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, **options
+        header=True, mode="FAILFAST", columnPruning=False, pathGlobFilter=glob, escape='"',
+        multiLine=multi_line, enforceSchema=columns is not None, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, **options
     )
     if columns:
         reader = reader.schema(text_schema(columns))
     files = reader.csv(path)
-    return with_spark_names(files.select(F.col(FILE_NAME).alias("id"), *files.columns))
+    return with_spark_names(files.select(F.col(FILE_NAME).alias("id"), *map(quoted, files.columns)))
 
 
 def scan_folder(spark, path, columns, glob="*.parquet"):
     """Parquet files of one folder with ``id``; only the columns a query uses are read."""
     files = spark.read.option("pathGlobFilter", glob).schema(text_schema(columns)).parquet(path)
-    return files.select(F.col(FILE_NAME).alias("id"), *files.columns)
+    return files.select(F.col(FILE_NAME).alias("id"), *map(quoted, files.columns))

@@ -5,6 +5,8 @@ That cuts the lineage (losing an executor never repeats the work before it), and
 true sizes to choose joins by.
 """
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -16,7 +18,9 @@ def shared_folder(spark):
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tripgrid-"))
+    folder = tempfile.mkdtemp(prefix="tripgrid-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir()
 
 
