@@ -8,7 +8,8 @@ The log ratio of one n-gram is ``log(target share / raw share)``. Of a document
 
 * ``tell``: what its unigrams say against it. Only ratios below ``-DOUBT`` count, so that words too
   rare for the target sample say nothing. Summed and divided by the root of the length.
-* ``style``: the mean ratio over all its unigrams and bigrams in a smaller table.
+* ``style``: the mean ratio over all its unigrams and bigrams in a smaller table, drawn towards 0 in
+  short texts.
 
 Both are centred on a low quantile of labelled good documents the models did not count (``STRICT``)
 and scaled by its distance from their median; the smaller of the two is the log weight. ``k`` is the
@@ -32,8 +33,10 @@ from pyspark.sql import functions as F
 
 from .common import Staging
 
-TELL_BITS, STYLE_BITS = 18, 16
-DOUBT, STRICT, TEMPERATURE = 2.0, 0.003, 0.01
+TELL_BITS, STYLE_BITS = 20, 16
+DOUBT, STRICT, TEMPERATURE = 2.0, 0.001, 0.01
+# So many n-grams without evidence are added to each document, so short ones are not judged by chance.
+CALM = 50
 MOST_LABELS = 40_000
 
 _TOKEN = re.compile(rb"[0-9a-z_\x80-\xff]+|[!-/:-@\[-^`{-~]+")
@@ -54,7 +57,7 @@ def _grams(text):
 
 
 # So many texts are counted at a time.
-_GROUP = 256
+_GROUP = 1024
 
 
 def _count(batches):
@@ -94,7 +97,7 @@ def _score(texts, ratios):
     for text in texts:
         tell, style = _grams(text) if text is not None else ((), ())
         n = len(style)
-        rows.append((n, float(doubt[tell].sum()) / n ** 0.5, float(ratios[style].mean())) if n else (0, None, None))
+        rows.append((n, float(doubt[tell].sum()) / n ** 0.5, float(ratios[style].sum()) / (n + CALM)) if n else (0, None, None))
     return rows
 
 
