@@ -59,10 +59,10 @@ shingles AS (
   SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS s
   FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
 sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
-shared AS (SELECT a.r, b.r AS other, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY 1, 2),
+shared AS (SELECT a.r, b.r AS other, count(*) AS n_both FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY 1, 2),
 links AS (
-  SELECT s.r, other, both = a.n AND both = b.n AS same
-  FROM shared s JOIN sizes a ON s.r = a.r JOIN sizes b ON s.other = b.r WHERE 10 * both >= 8 * (a.n + b.n - both)),
+  SELECT s.r, other, n_both = a.n AND n_both = b.n AS same
+  FROM shared s JOIN sizes a ON s.r = a.r JOIN sizes b ON s.other = b.r WHERE 10 * n_both >= 8 * (a.n + b.n - n_both)),
 reached AS (SELECT r, r AS other FROM sizes UNION SELECT x.r, l.other FROM reached x JOIN links l ON x.other = l.r),
 classes AS (SELECT x.r, min(d.doc_id) AS class_id FROM reached x JOIN docs d ON x.other = d.r GROUP BY x.r),
 counts AS (SELECT r, count(*) AS n_links, count(*) FILTER (same) AS n_copies FROM links GROUP BY r)
@@ -111,11 +111,11 @@ grams AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
 repeated AS (SELECT r, unnest(range(i, i + 3)) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY r, g) AS n FROM grams) WHERE n > 1),
 covered AS (SELECT r, count(DISTINCT pos) AS n FROM repeated GROUP BY r),
 measured AS (
-  SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS BIGINT) AS word_chars,
+  SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
          len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(regexp_extract_all(t, '!+')) AS n_marks,
-         len(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]'))) AS n_lines,
-         len(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
-           - len(list_distinct(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+         len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) AS n_lines,
+         len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+           - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
          coalesce(c.n, 0) AS n_repeat_words
   FROM docs LEFT JOIN covered c USING (r)),
 judged AS (SELECT *, CAST({_BITS} AS BIGINT) AS failed_rules FROM measured)
