@@ -38,6 +38,8 @@ DOUBT, STRICT, TEMPERATURE = 2.0, 0.001, 0.01
 # So many n-grams without evidence are added to each document, so short ones are not judged by chance.
 CALM = 50
 MOST_LABELS = 40_000
+# One labelled document in so many is kept from the models, to place the border.
+HELD = 5
 
 _TOKEN = re.compile(rb"[0-9a-z_\x80-\xff]+|[!-/:-@\[-^`{-~]+")
 _TELL, _STYLE = 1 << TELL_BITS, 1 << STYLE_BITS
@@ -148,7 +150,7 @@ def labelled_sample(labels, staging, most=MOST_LABELS, seed=0):
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
     return staging.table(
         chosen.groupBy("doc_id").agg(F.min(F.coalesce(good, F.lit(False))).alias("good"))
-        .withColumn("held", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(2)) == 0), "labels")
+        .withColumn("held", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(HELD)) == 0), "labels")
 
 
 def fit(documents, labels, staging, most=MOST_LABELS, seed=0):
