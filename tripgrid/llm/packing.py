@@ -16,6 +16,9 @@ Null and empty texts have the end id only. Repeated documents are packed as ofte
 """
 
 import re
+import sys
+import types
+from array import array
 from zlib import crc32
 
 import numpy as np
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import ROW, Staging, numbered
 
 CAPACITY, END_ID = 1024, 2
-# Words kept with their ids in each Python worker; the store starts anew beyond that.
+# A Python worker keeps the ids of so many cuts of either generation: those met lately, and before.
 REMEMBERED = 1 << 19
 
 # White space as the tokenizer's pattern has it. A text is cut where that pattern cuts it as well: after
@@ -44,13 +47,20 @@ class _Ids(dict):
     def __init__(self, path):
         from tokenizers import Tokenizer
 
+        self.before = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
 
     def __missing__(self, cut):
+        ids = self.before.pop(cut, None)
+        if ids is None:
+            numbers = array("I", self.tokenizer.encode(cut, add_special_tokens=False).ids)
+            if sys.byteorder == "big":
+                numbers.byteswap()
+            ids = numbers.tobytes()
         if len(self) >= REMEMBERED:
+            self.before = dict(self)
             self.clear()
-        ids = np.array(self.tokenizer.encode(cut, add_special_tokens=False).ids, "<u4").tobytes()
         self[cut] = ids
         return ids
 
@@ -58,6 +68,14 @@ class _Ids(dict):
         return b"".join(map(self.__getitem__, _CUT.findall(text)))
 
 
+def _ids_of(path):
+    """The worker's ids of this tokenizer; they outlive a task, as a worker runs many."""
+    kept = sys.modules.setdefault("_tripgrid_worker", types.ModuleType("_tripgrid_worker"))
+    if getattr(kept, "path", None) != path:
+        kept.path, kept.ids = path, _Ids(path)
+    return kept.ids
+
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -70,7 +88,7 @@ def pieces(documents, tokenizer, capacity=CAPACITY, end_id=END_ID, with_ids=Fals
     arrow = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
 
     def cut(batches):
-        ids_of = _Ids(tokenizer)
+        ids_of = _ids_of(tokenizer)
         for batch in batches:
             rows, columns, cuts = [], [[], [], [], []], []
             for at, text in enumerate(batch.column(1)):
@@ -189,8 +207,9 @@ def pack(documents, tokenizer, capacity=CAPACITY, end_id=END_ID, with_ids=False,
     cut = pieces(documents, tokenizer, capacity, end_id, with_ids)
     staged = staging.table(cut.withColumn(ROW, F.monotonically_increasing_id()), "pieces")
     histogram = {r["length"]: r["count"] for r in staged.groupBy("length").count().collect()}
-    table = spark.createDataFrame(
-        _places(plan(histogram, capacity)), "_length long, _first long, _times long, _sequence long, offset long")
+    runs = zip(*_places(plan(histogram, capacity))) if histogram else [()] * 5
+    table = spark.createDataFrame(pa.table({
+        name: pa.array(column, pa.int64()) for name, column in zip(("_length", "_first", "_times", "_sequence", "offset"), runs)}))
     placed = numbered(staged, ["length"], "_nth")
     mine = (F.col("length") == F.col("_length")) & (F.col("_nth") >= F.col("_first")) & (
         F.col("_nth") < F.col("_first") + F.col("_times"))
