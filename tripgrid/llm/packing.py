@@ -4,11 +4,12 @@
    first may be shorter. One pass; every piece becomes a thin row in a staged table.
 2. Count pieces by length. There are no more lengths than a sequence has tokens, so this histogram is
    small however many pieces there are; only it reaches the driver.
-3. Plan on the histogram. The longest length left opens a sequence; the index of single, pair and
-   triple sums over the available lengths is asked for an exact complement of its gap, and the
-   combination is used as often as the counts allow. Gaps without one get the best fit: the longest
-   length that fits, again and again. Every step uses up a length or closes an odd remainder, so the
-   plan has a few thousand steps at most, each standing for any number of equal sequences.
+3. Plan on the histogram. The longest length left opens a sequence. The index of single, pair and
+   triple sums over the available lengths is asked for an exact complement of its gap, one that holds
+   the longest length that fits; without one that length is the best fit, and the rest of the gap
+   is asked for again. The combination is used as often as the counts allow, so every step uses up a
+   length or closes an odd remainder: a few thousand steps, each standing for any number of equal
+   sequences.
 4. Number the pieces within their length (split over tasks, whatever share a length has), and join
    them with the plan on length and number.
 
@@ -118,37 +119,29 @@ def pieces(documents, tokenizer, capacity=CAPACITY, end_id=END_ID, with_ids=Fals
 # The plan
 
 def _complement(counts, gap):
-    """One, two or three available lengths with the sum ``gap``, the longest ones first, or None.
+    """The longest length that fits into ``gap``, with one or two others if they fill it exactly.
 
-    ``counts`` holds how many pieces of each length are left.
+    ``counts`` holds how many pieces of each length are left. The sums asked for are those of the
+    longest fit alone, with one and with two more lengths; where none is the gap it is the best fit.
+    Combinations without the longest fit would use up the short pieces that fill later gaps.
     """
-    if gap <= 0:
-        return None
-    have = counts > 0
-    if have[gap]:
-        return (gap,)
-    lengths = np.flatnonzero(have[:gap])
+    lengths = np.flatnonzero(counts[:gap + 1])
     if not len(lengths):
         return None
-    other = gap - lengths
-    pair = have[other] & (other <= lengths) & ((other != lengths) | (counts[lengths] > 1))
-    if pair.any():
-        a = int(lengths[pair][-1])
-        return (a, gap - a)
-    for a in lengths[::-1]:
-        a, rest = int(a), gap - int(a)
-        if 3 * a < gap:
-            break
-        below = lengths[(lengths <= a) & (lengths < rest)]
-        c = rest - below
-        ok = have[c] & (c <= below)
-        used = np.ones(len(below), int) + (below == a)
-        ok &= counts[below] >= used
-        ok &= counts[c] >= 1 + (c == below) + (c == a)
-        if ok.any():
-            b = int(below[ok][-1])
-            return (a, b, rest - b)
-    return None
+    a = int(lengths[-1])
+    rest = gap - a
+    if rest <= 0:
+        return (a,)
+    if counts[rest] > (rest == a):
+        return (a, rest)
+    second = lengths[(lengths <= a) & (lengths < rest)]
+    third = rest - second
+    ok = (third <= second) & (counts[second] > (second == a)) & (
+        counts[third] >= 1 + (third == second) + (third == a))
+    if ok.any():
+        b = int(second[ok][-1])
+        return (a, b, rest - b)
+    return (a,)
 
 
 def plan(histogram, capacity=CAPACITY):
@@ -162,11 +155,10 @@ def plan(histogram, capacity=CAPACITY):
         pattern, gap = [longest], capacity - longest
         counts[longest] -= 1
         while gap:
-            exact = _complement(counts, gap)
-            fits = np.flatnonzero(counts[:gap + 1])
-            if exact is None and not len(fits):
+            chosen = _complement(counts, gap)
+            if chosen is None:
                 break
-            for length in exact or (int(fits[-1]),):
+            for length in chosen:
                 pattern.append(length)
                 counts[length] -= 1
                 gap -= length
