@@ -5,10 +5,11 @@ from pyspark.sql import Window, functions as F
 from ..operators import bounded
 from ..sources import Staging
 
-__all__ = ["Staging", "bounded", "ascii_lower", "words", "whole_text", "numbered", "fenced", "WORD", "ROW"]
+__all__ = ["Staging", "bounded", "ascii_lower", "words", "whole_text", "numbered", "fenced", "ROW"]
 
-# A run of characters that are neither ASCII signs, blanks nor capitals; texts are lower-cased first.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Words are runs of other characters than ASCII signs, blanks and capitals; texts are lower-cased first.
+# Cutting at the others is several times faster than extracting the words.
+NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ROW = "_row"
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -26,7 +27,7 @@ def ascii_lower(text):
 
 def words(text):
     """Array of the lower-cased words of a text; null has none."""
-    return F.regexp_extract_all(ascii_lower(whole_text(text)), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(ascii_lower(whole_text(text)), NO_WORD, -1), "")
 
 
 def fenced(df, drop=(), **columns):
