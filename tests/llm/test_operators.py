@@ -44,7 +44,8 @@ def _frame(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string").select(
         "*", F.lit("kept").alias("words"), F.lit(1).alias("n_words"), F.lit(2).alias("key"), F.lit("z").alias("length"),
         F.lit(0).alias("shard"), F.lit("k").alias("kind"), F.lit(9).alias("component"), F.lit(3).alias("dotted.name"),
-        F.lit(None).cast("string").alias("kept"))
+        F.lit(None).cast("string").alias("kept"), F.lit(5).alias("text_hash"), *[
+            F.lit(6).alias(c) for c in ("_id", "_hash", "_text", "_words", "_row", "_good", "_part", "_postings", "_mentions")])
 
 
 @pytest.fixture(scope="module")
@@ -223,7 +224,7 @@ def test_urls(spark):
 
 
 def test_rules_are_filed_under_their_rarest_token(spark):
-    rules = spark.createDataFrame([r.row() for r in url_rules.SITE_RULES + url_rules.PATTERN_RULES], url_rules.COLUMNS)
+    rules = url_rules.rule_table(spark, url_rules.SITE_RULES + url_rules.PATTERN_RULES)
     urls = spark.createDataFrame([(["example", "org", "en"],), (["org"],), (["com", "de"],)], "tokens array<string>")
     filed = {r.rule: r.token for r in url_rules.rule_index(rules, urls).collect()}
     assert filed["example.org/es/"] == "es" and filed["example.org/en/1"] == "en" and filed["org/"] == "org"

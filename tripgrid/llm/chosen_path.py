@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import Staging, bounded
+from .common import Staging, bounded, matching
 
 SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.9999
 SKETCH = 64
@@ -378,13 +378,9 @@ def one_of_each(documents, threshold=THRESHOLD, recall=RECALL, staging=None):
     staging = staging or Staging(documents.sparkSession)
     judged = staging.table(jaccard_join(documents, threshold, recall, staging), "judged")
     first = judged.filter((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("class_id")))
-    rows = first.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.min("text_hash").alias("_hash"), F.count(F.lit(1)).alias("_rows"))
-    wordless = judged.filter("n_shingles = 0").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.lit(1).cast("long").alias("_rows")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    chosen = rows.unionByName(wordless)
-    single = documents.join(chosen.filter("_rows = 1").drop("_rows"), same, "left_semi")
+    rows = first.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"), F.count(F.lit(1)).alias("n"))
+    wordless = judged.filter("n_shingles = 0").select("doc_id", "text_hash", F.lit(1).cast("long").alias("n"))
+    single = matching(documents, rows.filter("n = 1").unionByName(wordless), "left_semi")
     # Ids that several rows share are rare, and only these meet a second shuffle.
-    shared = documents.join(chosen.filter("_rows > 1").drop("_rows"), same, "left_semi")
+    shared = matching(documents, rows.filter("n > 1"), "left_semi")
     return single.unionByName(shared.dropDuplicates(["doc_id"]))

@@ -5,7 +5,7 @@ from pyspark.sql import Window, functions as F
 from ..operators import bounded
 from ..sources import Staging
 
-__all__ = ["Staging", "bounded", "ascii_lower", "words", "whole_text", "numbered", "fenced", "ROW"]
+__all__ = ["Staging", "bounded", "ascii_lower", "words", "whole_text", "numbered", "fenced", "matching", "ROW"]
 
 # Words are runs of other characters than ASCII signs, blanks and capitals; texts are lower-cased first.
 # Cutting at the others is several times faster than extracting the words.
@@ -30,6 +30,16 @@ def words(text):
     return F.array_remove(F.split(ascii_lower(whole_text(text)), NO_WORD, -1), "")
 
 
+def matching(documents, judged, how):
+    """Documents with (``left_semi``) or without (``left_anti``) a judged row of their id and text.
+
+    ``judged`` has ``doc_id`` and ``text_hash``; null ids match. No column of the documents can clash.
+    """
+    keys = judged.select(F.col("doc_id").alias("__judged_id"), F.col("text_hash").alias("__judged_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__judged_id")) & (F.xxhash64("text") == F.col("__judged_hash"))
+    return documents.join(keys, same, how)
+
+
 def fenced(df, drop=(), **columns):
     """``df`` with these columns set, each computed once per row whatever is done with it later.
 

@@ -19,7 +19,7 @@ under the empty string, items with the same id as one. Repeated documents each g
 
 from pyspark.sql import Window, functions as F
 
-from .common import ROW, Staging, bounded, words
+from .common import ROW, Staging, bounded, matching, words
 
 WINDOW = 13
 
@@ -143,6 +143,4 @@ def contamination(documents, benchmark, window=WINDOW, one_in=20, staging=None):
 def decontaminated(documents, benchmark, window=WINDOW, one_in=20, staging=None):
     """The documents that are not contaminated, with all their columns."""
     judged = contamination(documents, benchmark, window, one_in, staging).filter("contaminated")
-    bad = judged.select(F.col("doc_id").alias("_bad"), "text_hash").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_bad")) & (F.xxhash64("text") == F.col("text_hash"))
-    return documents.join(bad, same, "left_anti")
+    return matching(documents, judged, "left_anti")

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import Staging
+from .common import Staging, matching
 
 TELL_BITS, STYLE_BITS = 20, 16
 DOUBT, STRICT, TEMPERATURE = 2.0, 0.001, 0.01
@@ -226,6 +226,4 @@ def resample(documents, labels, k=None, most_labels=MOST_LABELS, seed=0, staging
 def resampled(documents, labels, k=None, most_labels=MOST_LABELS, seed=0, staging=None):
     """The documents that are kept, with all their columns."""
     judged = resample(documents, labels, k, most_labels, seed, staging).filter("kept")
-    good = judged.select(F.col("doc_id").alias("_good"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_good")) & (F.xxhash64("text") == F.col("_hash"))
-    return documents.join(good, same, "left_semi")
+    return matching(documents, judged, "left_semi")

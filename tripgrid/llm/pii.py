@@ -240,14 +240,14 @@ def pseudonymized(documents, key, staging):
     """
     attempts = checked_attempts(documents, key, staging)
     text = F.col("text")
-    marked = documents.withColumn("_mentions", F.transform(mentions(text), lambda e: F.struct(
+    marked = documents.withColumn("__mentions", F.transform(mentions(text), lambda e: F.struct(
         kind_of(e).alias("kind"), e.alias("entity"))))
-    pieces = F.arrays_zip(F.split(text, ANY, -1).alias("gap"), F.col("_mentions").alias("m"))
+    pieces = F.arrays_zip(F.split(text, ANY, -1).alias("gap"), F.col("__mentions").alias("m"))
     replaced = F.array_join(F.transform(pieces, lambda z: F.concat(z["gap"], F.when(
         z["m"].isNotNull(), surrogate(key, z["m"]["kind"], z["m"]["entity"], attempts)).otherwise(""))), "")
     counts = F.create_map(*[x for kind in KINDS for x in (
-        F.lit(kind), F.coalesce(F.size(F.filter("_mentions", lambda m: m["kind"] == kind)), F.lit(0)))])
+        F.lit(kind), F.coalesce(F.size(F.filter("__mentions", lambda m: m["kind"] == kind)), F.lit(0)))])
     counts = F.transform_values(counts, lambda _, n: F.greatest(n, F.lit(0)))
-    out = fenced(marked, ("_mentions",), text=F.when(F.col("_mentions").isNotNull(), replaced).otherwise(text),
+    out = fenced(marked, ("__mentions",), text=F.when(F.col("__mentions").isNotNull(), replaced).otherwise(text),
                  entity_counts=counts)
     return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in documents.columns else out

@@ -220,7 +220,7 @@ def masked(documents, rules=RULES, mask="[REDACTED]"):
     """
     index = TrigramIndex(rules)
     scanned = F.array_compact(F.array(*[
-        F.when(index.candidate(rule.kind, F.col("_postings")), F.struct(
+        F.when(index.candidate(rule.kind, F.col("__postings")), F.struct(
             F.lit(rule.regex).alias("regex"), F.lit(rule.group).alias("group"), F.lit(rule.least).alias("least")))
         for rule in rules]))
 
@@ -237,6 +237,6 @@ def masked(documents, rules=RULES, mask="[REDACTED]"):
         return F.when(F.rlike(text, rule["regex"]), F.array_join(F.transform(cut, piece), "")).otherwise(text)
 
     # One fold over a document's candidate rules, rather than a chain of columns.
-    read = documents.withColumn("_postings", index.postings(whole_text(F.col("text"))))
-    shown = fenced(read, ("_postings",), text=F.aggregate(scanned, F.col("text"), rebuilt))
+    read = documents.withColumn("__postings", index.postings(whole_text(F.col("text"))))
+    shown = fenced(read, ("__postings",), text=F.aggregate(scanned, F.col("text"), rebuilt))
     return shown.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in documents.columns else shown
