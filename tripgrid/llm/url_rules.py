@@ -13,6 +13,7 @@ Null urls and those without ``://`` have an empty host and path, and still meet
 import re
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, bounded
@@ -70,7 +71,6 @@ PATTERN_RULES = (
     PatternRule("address as host", "block", r"^[a-z]+://[0-9]{1,3}(?:[.][0-9]{1,3}){3}(?:[:/?#]|$)"),
     PatternRule("many hyphens", "block", r"^[a-z]+://[^/?#]*-[^/?#-]*-[^/?#-]*-[^/?#-]*-"),
 )
-COLUMNS = "rule string, verdict string, kind string, regex string, tokens array<string>, length int"
 
 
 def host_and_path(url):
@@ -81,6 +81,14 @@ def host_and_path(url):
     return host, path
 
 
+def rule_table(spark, rules):
+    """``rule, verdict, kind, regex, tokens, length`` of some rules."""
+    names = ("rule", "verdict", "kind", "regex", "tokens", "length")
+    kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.int32())
+    columns = zip(*[rule.row() for rule in rules]) if rules else [()] * len(names)
+    return spark.createDataFrame(pa.table({n: pa.array(c, k) for n, k, c in zip(names, kinds, columns)}))
+
+
 def rule_index(rules, urls):
     """Rules with the ``token`` they are filed under: their rarest in ``urls`` (ties: the smallest)."""
     tokens = rules.select(F.explode("tokens").alias("token")).distinct()
@@ -99,7 +107,7 @@ def judge_urls(pages, rules=(*SITE_RULES, *PATTERN_RULES), default="allow"):
     first by name of the pattern rules that match, does; else ``default``.
     """
     spark = pages.sparkSession
-    table = spark.createDataFrame([rule.row() for rule in rules], COLUMNS)
+    table = rule_table(spark, rules)
     host, path = host_and_path(F.col("url"))
     urls = pages.select("url").distinct().select(
         "url", host.alias("host"), path.alias("path"), ascii_lower(F.coalesce("url", F.lit(""))).alias("_small"))
