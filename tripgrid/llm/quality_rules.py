@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import fenced, whole_text
 
-WORD = r"[^\x20\x09-\x0D]+"
+BLANKS, NO_BLANK = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 GRAM = 3
 
@@ -62,17 +62,17 @@ def _repeated(grams):
 def measured(documents, *keep):
     """The kept columns with ``n_words, word_chars, n_symbols, n_marks, n_lines, n_dup_lines, n_repeat_words``."""
     split = documents.select(*keep, whole_text(F.col("text")).alias("_text")).withColumn(
-        "_words", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)))
+        "_words", F.array_remove(F.split("_text", BLANKS, -1), ""))
     n = F.size("_words")
     grams = F.when(n >= GRAM, F.transform(
         F.sequence(F.lit(1), F.greatest(n - GRAM + 1, F.lit(1))),
         lambda i: F.xxhash64(*[F.get("_words", i + (k - 1)) for k in range(GRAM)]),
     )).otherwise(F.array().cast("array<bigint>"))
-    counted = split.withColumn("_lines", F.filter(F.split("_text", "\n", -1), lambda x: F.rlike(x, F.lit(WORD)))).select(
+    counted = split.withColumn("_lines", F.filter(F.split("_text", "\n", -1), lambda x: F.rlike(x, F.lit(NO_BLANK)))).select(
         *keep, n.cast("long").alias("n_words"),
-        (F.char_length("_text") - F.regexp_count("_text", F.lit(r"[\x20\x09-\x0D]"))).cast("long").alias("word_chars"),
-        F.regexp_count("_text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-        F.regexp_count("_text", F.lit(r"!+")).cast("long").alias("n_marks"),
+        F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        (F.size(F.split("_text", SYMBOLS, -1)) - 1).cast("long").alias("n_symbols"),
+        (F.size(F.split("_text", "!+", -1)) - 1).cast("long").alias("n_marks"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         grams.alias("_grams"),
