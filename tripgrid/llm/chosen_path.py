@@ -43,26 +43,27 @@ DEEPEST = 8
 AGREE = 33
 
 _SMALL = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+# Words with their capitals, which are made small where a word is hashed.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(1, 1 << 63, SHINGLE, np.uint64) | np.uint64(1)
 _PLACES = _rng.integers(1, 1 << 63, SKETCH, np.uint64) | np.uint64(1)
 
 
 class _Hashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
+    """64-bit hashes of words with A-Z made small, remembered up to a bound."""
 
     def __missing__(self, word):
         if len(self) > 1 << 19:
             self.clear()
-        h = int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        h = int.from_bytes(blake2b(word.translate(_SMALL).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
         self[word] = h
         return h
 
 
 def shingle_set(text, hashes):
     """Sorted distinct 64-bit hashes of a text's shingles."""
-    found = _WORD.findall(text.translate(_SMALL) if not text.isascii() else text.lower())
+    found = _WORD.findall(text)
     h = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
     if not len(h):
         return h
@@ -79,11 +80,11 @@ def shingle_set(text, hashes):
 def _sketch(shingles):
     """``SKETCH`` minwise hashes of 32 bits."""
     least = np.full(SKETCH, ~np.uint64(0))
-    for at in range(0, len(shingles), 4096):
-        part = shingles[at:at + 4096, None] * _PLACES[None, :]
+    for at in range(0, len(shingles), 512):
+        part = _PLACES[:, None] * shingles[None, at:at + 512]
         part ^= part >> np.uint64(31)
         part *= np.uint64(0x94D049BB133111EB)
-        least = np.minimum(least, part.min(axis=0))
+        least = np.minimum(least, part.min(axis=1))
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
