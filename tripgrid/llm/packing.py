@@ -42,6 +42,11 @@ _CUT = re.compile(
 )
 
 
+# How byte-level vocabularies spell bytes: printable Latin signs as themselves, the others from 256 on.
+_SPELLED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SIGNS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SPELLED)}
+
+
 class _Ids(dict):
     """Ids of text cuts as little-endian unsigned 32-bit bytes."""
 
@@ -51,11 +56,18 @@ class _Ids(dict):
         self.before = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
 
     def __missing__(self, cut):
         ids = self.before.pop(cut, None)
         if ids is None:
-            numbers = array("I", self.tokenizer.encode(cut, add_special_tokens=False).ids)
+            word = cut[1:] if cut[0] == " " else cut
+            if word.isalpha() and max(word) <= "ÿ":
+                # Latin letters are one piece of the tokenizer's pattern, which its model takes as bytes.
+                spelled = cut.encode().decode("latin-1").translate(_SIGNS)
+                numbers = array("I", [token.id for token in self.model.tokenize(spelled)])
+            else:
+                numbers = array("I", self.tokenizer.encode(cut, add_special_tokens=False).ids)
             if sys.byteorder == "big":
                 numbers.byteswap()
             ids = numbers.tobytes()
