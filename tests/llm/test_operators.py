@@ -130,6 +130,30 @@ def test_one_of_each(spark, documents, none):
     assert chosen_path.one_of_each(none).count() == 0
 
 
+def test_one_of_each_group_that_shares_ids(spark):
+    """One survivor for each group, also where groups share an id or have none."""
+    alone = [(None, _prose(60)) for _ in range(4)] + [(5, _prose(60)), (5, _prose(60)), (5, _prose(60))]
+    copies = [(None, t) for t in _near_copies(150, 4)] + [(None, BASE), (None, BASE), (5, NEAR), (5, NEAR)]
+    wordless = [(None, None), (None, ""), (5, " ")]
+    rows = [(d, t) for d, t in alone + copies + wordless]
+    got = _rows(chosen_path.one_of_each(_frame(spark, rows)), "doc_id", "text")
+    sets = [brute.shingles(t) for _, t in rows]
+    near = [{j for j, t in enumerate(sets) if s and t and len(s & t) / len(s | t) >= 0.8} for s in sets]
+    groups = []
+    for i, s in enumerate(sets):
+        if s:
+            mine = {i}
+            while (more := set().union(*(near[j] for j in mine))) != mine:
+                mine = more
+            if mine not in groups:
+                groups.append(mine)
+    for group in groups:
+        least = min((rows[j][0] for j in group if rows[j][0] is not None), default=None)
+        may = {rows[j] for j in group if rows[j][0] == least}
+        assert sum(r in may for r in got) == 1
+    assert len(groups) > 7 and len(got) == len(groups) + len(wordless)
+
+
 def test_runs_reach_the_recall():
     assert 1 - (1 - 0.8 ** 2) ** chosen_path.runs_for(2) >= chosen_path.RECALL
 

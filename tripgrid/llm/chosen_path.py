@@ -325,10 +325,12 @@ def components(edges, staging):
 
 
 def jaccard_join(documents, threshold=THRESHOLD, recall=RECALL, staging=None):
-    """``doc_id, class_id, n_links, n_copies, n_shingles, text_hash`` of every document.
+    """``doc_id, class_id, n_links, n_copies, n_shingles, text_hash, shingle_set, component`` of every document.
 
     ``class_id`` is the smallest id among the documents connected by links; ``n_links`` counts the
     other documents of at least the threshold's similarity, ``n_copies`` those with the same shingles.
+    Ids may repeat or be null, so groups can share a ``class_id``; ``component`` tells them apart. It is
+    null for documents without words.
     """
     spark = documents.sparkSession
     staging = staging or Staging(spark)
@@ -361,27 +363,30 @@ def jaccard_join(documents, threshold=THRESHOLD, recall=RECALL, staging=None):
     result = result.withColumn("component", F.coalesce("component", "key"))
     ids = result.groupBy("component").agg(F.min("first_id").alias("class_id"))
     result = staging.table(result.join(ids, "component").select(
-        "key", "class_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "result")
+        "key", "component", "class_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "result")
     has_words = F.col("key").isNotNull()
     return sets.join(result, "key", "left").select(
         "doc_id", F.when(has_words, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce(F.col("copies") - 1, F.lit(0)).cast("long").alias("n_copies"),
-        "n_shingles", "text_hash", F.hex("key").alias("shingle_set"))
+        "n_shingles", "text_hash", F.hex("key").alias("shingle_set"),
+        F.hex("component").alias("component"))
 
 
 def one_of_each(documents, threshold=THRESHOLD, recall=RECALL, staging=None):
     """One document of each group of near copies, the one with the smallest id, with all its columns.
 
     Documents without words are in no group and stay. Of rows that share the smallest id of a group
-    one stays.
+    one stays, and so does one of a group whose ids are all null. Groups that share an id keep one each.
     """
     staging = staging or Staging(documents.sparkSession)
     judged = staging.table(jaccard_join(documents, threshold, recall, staging), "judged")
     first = judged.filter((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("class_id")))
-    rows = first.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"), F.count(F.lit(1)).alias("n"))
+    # All of a component's rows here have the same id.
+    rows = first.groupBy("component").agg(
+        F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"), F.count(F.lit(1)).alias("n")).drop("component")
     wordless = judged.filter("n_shingles = 0").select("doc_id", "text_hash", F.lit(1).cast("long").alias("n"))
     single = matching(documents, rows.filter("n = 1").unionByName(wordless), "left_semi")
-    # Ids that several rows share are rare, and only these meet a second shuffle.
+    # Groups in which several rows have the smallest id are rare, and only these meet a second shuffle.
     shared = matching(documents, rows.filter("n > 1"), "left_semi")
-    return single.unionByName(shared.dropDuplicates(["doc_id"]))
+    return single.unionByName(shared.dropDuplicates(["doc_id", "text"]))

@@ -42,7 +42,7 @@ def op3_decontamination(spark, sf_dir):
 
 def op4_jaccard_join(spark, sf_dir):
     """Every document with its class and its number of links."""
-    return jaccard_join(_table(spark, sf_dir, "documents")).drop("text_hash", "shingle_set")
+    return jaccard_join(_table(spark, sf_dir, "documents")).drop("text_hash", "shingle_set", "component")
 
 
 def op5_secret_scan(spark, sf_dir):
