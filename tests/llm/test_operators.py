@@ -410,6 +410,27 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     assert shown.select("text").distinct().count() == rows.count() and attempts["email"] == 0
 
 
+def test_numbers_are_drawn_again_one_by_one(spark, monkeypatch):
+    """Of 64 numbers 15 are real, and every one permutation of them takes a real one to a real one."""
+    plain = pii._feistel
+    monkeypatch.setattr(pii, "_feistel", lambda key, label, a, b, *sizes: plain(key, label, a, b, F.lit(1), F.lit(64)))
+    real = [f"0.0.0.{n}" for n in [*range(8), *range(8, 64, 8)]]
+    rows = [(i, f"from {ip} and {ip}, u{i}@x.org") for i, ip in enumerate(real)] + [(100 + i, f"again {ip}") for i, ip in enumerate(real)]
+    shown = pii.pseudonymized(spark.createDataFrame(rows, "doc_id long, text string"), "key", Staging(spark))
+    text = {r.doc_id: r.text for r in shown.collect()}
+    new = [text[100 + i].removeprefix("again ") for i in range(len(real))]
+    assert len(set(new)) == len(real) and not set(new) & set(real)
+    assert all(text[i].startswith(f"from {ip} and {ip}, ") for i, ip in enumerate(new))
+
+
+def test_redrawn_emails_get_longer(spark):
+    """Ten addresses whose shape leaves ten surrogates of the first attempt."""
+    mails = [f"{i}.........@x.org" for i in range(10)]
+    rows = spark.createDataFrame([(i, m) for i, m in enumerate(mails)], "doc_id long, text string")
+    new = {r.text for r in pii.pseudonymized(rows, "key", Staging(spark)).collect()}
+    assert len(new) == 10 and len({m.partition("@")[2] for m in new}) == 1
+
+
 # WARC
 
 PAGES = [(i, f"http://x.org/{i}\r\nX: y", t) for i, t in enumerate(

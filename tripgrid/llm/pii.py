@@ -5,23 +5,27 @@ replaced by surrogates of the same type. A surrogate is a function of the key an
 entity, so one entity has one surrogate wherever and however it is written (coreference), and it is
 computed in the task that reads the text:
 
-* Numbers go through a keyed Feistel permutation of their digits, so different numbers stay different
-  by construction. Signs and blanks stay in place, as do a phone's country code and a card's first
+* Numbers go through a keyed Feistel permutation of their digits, so different numbers of
+  one attempt stay different by construction. Signs and blanks stay in place, as do a phone's country code and a card's first
   digit; a card that passes its check digit still does, and octets stay octets.
 * E-mails and names are spelled from a keyed hash: addresses keep the shape of their local part, names
   their script and the gender of their title. Given and family names are replaced word by word, so a
   person called by family name alone keeps it.
 
-Spelled surrogates may collide in principle. A check over all distinct entities (only these are
-shuffled) finds kinds in which two entities share a surrogate, or a surrogate equals an entity; such
-a kind is drawn again with the next attempt number, which also lengthens names.
+Surrogates may collide: two entities share one, or one equals an entity. A check over all distinct
+entities (only these are shuffled) finds them. Of numbers and e-mails only the entities concerned are
+drawn again, each with its next attempt number, until none is left; of those that share a surrogate
+one keeps it. About n * n / N of n entities with N possible surrogates are drawn again, so their table
+is small and goes to all tasks. Longer e-mails make room; numbers have room as long as fewer than half
+of the numbers of a kind and head are real. Names share their words, so all names are drawn again
+together, with two syllables more each time.
 
 Null texts stay null; texts without entities stay as they are. Repeated rows are replaced alike.
 """
 
 from pyspark.sql import functions as F
 
-from .common import fenced
+from .common import bounded, fenced
 
 # Titles and the gender they tell; names follow a title, at most two words.
 TITLES = {
@@ -52,12 +56,13 @@ SYLLABLES = {
 }
 ENDINGS = {("latin", "f"): "na", ("latin", "m"): "n", ("cyrillic", "f"): "на", ("cyrillic", "m"): "н"}
 ROUNDS = 6
-MOST_ATTEMPTS = 8
+# Kinds whose entities are drawn again one by one.
+ONE_BY_ONE = ("email", "ip", "ssn", "phone", "card")
 
 
 def _number(key, label, *parts):
-    """A keyed number below 16 ** 14 from text columns."""
-    digest = F.sha2(F.concat_ws("\0", F.lit(key), F.lit(label), *parts), 256)
+    """A keyed number below 16 ** 14 from text columns; the key is one, too."""
+    digest = F.sha2(F.concat_ws("\0", key, F.lit(label), *parts), 256)
     return F.conv(F.substring(digest, 1, 14), 16, 10).cast("long")
 
 
@@ -133,15 +138,20 @@ def _spelled(key, label, entity, alphabet, length):
         F.array(*map(F.lit, alphabet)), F.pmod(_number(key, label, entity, i.cast("string")), F.lit(len(alphabet))).cast("int")))
 
 
-def _email(key, entity):
+def _keyed(key, attempt):
+    return F.concat(F.lit(f"{key}\0"), attempt.cast("string"))
+
+
+def _email(key, entity, attempt):
     local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
     letters = "abcdefghijklmnopqrstuvwxyz"
-    spelled = _spelled(key, "local", entity, letters, F.greatest(F.char_length(local), F.lit(10)))
+    length = F.greatest(F.char_length(local), F.lit(10)) + 2 * attempt
+    spelled = _spelled(_keyed(key, attempt), "local", entity, letters, length)
     shaped = F.transform(spelled, lambda c, i: F.when(
         F.rlike(_cut(local, i + 1, F.lit(1)), F.lit("[0-9]")), F.pmod(F.ascii(c), F.lit(10)).cast("string")).when(
         F.rlike(_cut(local, i + 1, F.lit(1)), F.lit("[._%+-]")), _cut(local, i + 1, F.lit(1))).otherwise(c))
     return F.concat(F.array_join(shaped, ""), F.lit("@"),
-                    F.array_join(_spelled(key, "domain", domain, letters, F.lit(10)), ""), F.lit(".example"))
+                    F.array_join(_spelled(_keyed(key, F.lit(0)), "domain", domain, letters, F.lit(10)), ""), F.lit(".example"))
 
 
 def _name(key, entity, attempt):
@@ -151,7 +161,7 @@ def _name(key, entity, attempt):
 
     def renamed(word, i, n):
         def in_script(script):
-            syllables = _spelled(key, "name", word, SYLLABLES[script].split(), F.lit(5 + 2 * attempt))
+            syllables = _spelled(_keyed(key, F.lit(attempt)), "name", word, SYLLABLES[script].split(), F.lit(5 + 2 * attempt))
             # A given name, the first of two words, ends as the title's gender has it.
             ending = F.when((n > 1) & (i == 0), F.when(female, ENDINGS[script, "f"]).otherwise(ENDINGS[script, "m"])).otherwise("")
             return F.initcap(F.concat(F.array_join(syllables, ""), ending))
@@ -183,26 +193,30 @@ def normalized(kind, entity):
     return F.when(kind == "email", F.lower(entity)).when(kind.isin("phone", "ssn", "card"), _digits(entity)).otherwise(entity)
 
 
-def surrogate(key, kind, entity, attempts):
-    """The surrogate of an entity as written; ``attempts`` has the attempt number of each kind."""
-    keys = {k: f"{key}\0{n}" for k, n in attempts.items()}
+def surrogate(key, kind, entity, attempt, attempts):
+    """The surrogate of an entity as written.
+
+    ``attempt`` is a column, the attempt number of the entity if it is of a kind drawn one by one;
+    ``attempts`` has the number of each other kind.
+    """
+    drawn = _keyed(key, attempt)
     digits = _digits(entity)
     n = F.char_length(digits)
     head = F.greatest(n - 9, F.lit(1))
-    phone = F.concat(_cut(digits, 1, head), _permuted(keys["phone"], "phone", _cut(digits, head + 1, n)))
-    body = F.concat(_cut(digits, 1, F.lit(1)), _permuted(keys["card"], "card", _cut(digits, 2, n - 2)))
+    phone = F.concat(_cut(digits, 1, head), _permuted(drawn, "phone", _cut(digits, head + 1, n)))
+    body = F.concat(_cut(digits, 1, F.lit(1)), _permuted(drawn, "card", _cut(digits, 2, n - 2)))
     off = F.pmod(_cut(digits, n, F.lit(1)).cast("int") - _luhn(_cut(digits, 1, n - 1)), F.lit(10))
     card = _let(body, lambda b: F.concat(b, F.pmod(_luhn(b) + off, F.lit(10)).cast("string")))
     octets = F.transform(F.split(entity, r"\."), lambda o: o.cast("long"))
-    pair = _feistel(keys["ip"], "ip", F.get(octets, F.lit(0)) * 256 + F.get(octets, F.lit(1)),
+    pair = _feistel(drawn, "ip", F.get(octets, F.lit(0)) * 256 + F.get(octets, F.lit(1)),
                     F.get(octets, F.lit(2)) * 256 + F.get(octets, F.lit(3)), F.lit(65536), F.lit(65536))
     ip = _let(pair, lambda p: F.concat_ws(".", *[
         x.cast("string") for x in (F.floor(p["a"] / 256), p["a"] % 256, F.floor(p["b"] / 256), p["b"] % 256)]))
     return (
-        F.when(kind == "email", _email(keys["email"], F.lower(entity))).when(kind == "ip", ip)
-        .when(kind == "ssn", _in_format(entity, _permuted(keys["ssn"], "ssn", digits)))
+        F.when(kind == "email", _email(key, F.lower(entity), attempt)).when(kind == "ip", ip)
+        .when(kind == "ssn", _in_format(entity, _permuted(drawn, "ssn", digits)))
         .when(kind == "phone", _in_format(entity, phone)).when(kind == "card", _in_format(entity, card))
-        .otherwise(_name(keys["name"], entity, attempts["name"]))
+        .otherwise(_name(key, entity, attempts["name"]))
     )
 
 
@@ -213,41 +227,88 @@ def entities(documents):
     return named.select("kind", "entity", normalized(F.col("kind"), F.col("entity")).alias("value"))
 
 
-def checked_attempts(documents, key, staging):
-    """The first attempt of each kind without collisions."""
-    known = staging.table(entities(documents), "entities")
-    attempts, open_kinds = {kind: 0 for kind in KINDS}, list(KINDS)
+def checked_attempts(documents, key, staging, known=None):
+    """The first attempt without collisions of the kinds that are drawn together, 0 of the others."""
+    known = staging.table(entities(documents), "entities") if known is None else known
+    attempts = dict.fromkeys(KINDS, 0)
+    open_kinds = [kind for kind in KINDS if kind not in ONE_BY_ONE]
     while open_kinds:
         drawn = known.filter(F.col("kind").isin(open_kinds)).withColumn(
-            "surrogate", surrogate(key, F.col("kind"), F.col("entity"), attempts))
+            "surrogate", surrogate(key, F.col("kind"), F.col("entity"), F.lit(0), attempts))
         drawn = drawn.select("kind", "value", normalized(F.col("kind"), F.col("surrogate")).alias("surrogate")).distinct()
         # A surrogate that two values share, or that is a value of its own kind.
         both = drawn.select("kind", F.col("surrogate").alias("text"), F.lit(1).alias("n")).unionByName(
             drawn.select("kind", F.col("value").alias("text"), F.lit(0).alias("n")).distinct().withColumn("n", F.lit(100)))
         bad = both.groupBy("kind", "text").agg(F.sum("n").alias("n")).filter("n > 1 and n != 100")
-        open_kinds = [r["kind"] for r in bad.select("kind").distinct().collect()]
+        cyrillic = F.rlike("text", F.lit(r"\p{IsCyrillic}[^ ]*$"))
+        found = bad.select("kind", F.when(cyrillic, "cyrillic").otherwise("latin").alias("script")).distinct().collect()
+        # Longer names part words only if there are syllables to choose from.
+        for script in {r["script"] for r in found}:
+            if len(set(SYLLABLES[script].split())) < 2:
+                raise RuntimeError(f"one {script} syllable cannot keep names apart")
+        open_kinds = list({r["kind"] for r in found})
         for kind in open_kinds:
             attempts[kind] += 1
-            if attempts[kind] > MOST_ATTEMPTS:
-                raise RuntimeError(f"no attempt keeps all surrogates of {kind} apart")
     return attempts
 
 
+def drawn_again(known, key, staging):
+    """``kind, value, attempt`` of the entities whose first surrogate does not do; null if there are none."""
+    attempts = dict.fromkeys(KINDS, 0)
+
+    def drawn(values):
+        new = surrogate(key, F.col("kind"), F.col("entity"), F.col("attempt"), attempts)
+        return values.withColumn("surrogate", normalized(F.col("kind"), new))
+
+    # All spellings of a value have the same surrogate, but for signs.
+    values = known.filter(F.col("kind").isin(*ONE_BY_ONE)).groupBy("kind", "value").agg(F.min("entity").alias("entity"))
+    now = staging.table(drawn(values.withColumn("attempt", F.lit(0))), "drawn")
+    while True:
+        owner = F.struct("attempt", "value")
+        both = now.select("kind", F.col("surrogate").alias("text"), owner.alias("owner"), F.lit(False).alias("real")).unionByName(
+            now.select("kind", F.col("value").alias("text"), F.lit(None).cast("struct<attempt:int,value:string>").alias("owner"),
+                       F.lit(True).alias("real")))
+        bad = staging.table(both.groupBy("kind", "text").agg(
+            F.count("owner").alias("n"), F.min("owner").alias("owner"), F.bool_or("real").alias("real")).filter(
+            "n > 1 or n = 1 and real").select("kind", F.col("text").alias("surrogate"), F.when(
+                ~F.col("real"), F.col("owner.value")).alias("keeper")), "bad")
+        if bad.isEmpty():
+            break
+        judged = now.join(bounded(bad.withColumn("shared", F.lit(True))), ["kind", "surrogate"], "left")
+        again = F.col("shared").isNotNull() & ~F.col("value").eqNullSafe(F.col("keeper"))
+        # Only the new attempts are computed.
+        kept = judged.filter(~again).select("kind", "value", "entity", "attempt", "surrogate")
+        new = judged.filter(again).select("kind", "value", "entity", (F.col("attempt") + 1).alias("attempt"))
+        now = staging.table(kept.unionByName(drawn(new)), "drawn")
+    redrawn = now.filter("attempt > 0").select("kind", "value", "attempt")
+    return None if redrawn.isEmpty() else redrawn
+
+
 def pseudonymized(documents, key, staging):
     """The documents with all entities replaced, and ``entity_counts`` (a map by kind) added.
 
     ``n_chars``, where there is one, is counted anew.
     """
-    attempts = checked_attempts(documents, key, staging)
+    known = staging.table(entities(documents), "entities")
+    attempts, redrawn = checked_attempts(documents, key, staging, known), drawn_again(known, key, staging)
+    attempt, extra, columns = (lambda kind, entity: F.lit(0)), (), documents.columns
+    if redrawn is not None:
+        # One row with a map, which every task gets.
+        entries = F.collect_list(F.struct(F.concat_ws("\0", "kind", "value"), "attempt"))
+        documents = documents.crossJoin(F.broadcast(redrawn.agg(F.map_from_entries(entries).alias("__redrawn"))))
+        attempt = lambda kind, entity: F.coalesce(F.try_element_at(
+            F.col("__redrawn"), F.concat_ws("\0", kind, normalized(kind, entity))), F.lit(0))
+        extra = ("__redrawn",)
     text = F.col("text")
-    marked = documents.withColumn("__mentions", F.transform(mentions(text), lambda e: F.struct(
-        kind_of(e).alias("kind"), e.alias("entity"))))
+    found = F.transform(mentions(text), lambda e: F.struct(kind_of(e).alias("kind"), e.alias("entity")))
+    marked = documents.withColumn("__mentions", F.transform(found, lambda m: F.struct(
+        m["kind"].alias("kind"), m["entity"].alias("entity"), attempt(m["kind"], m["entity"]).alias("attempt"))))
     pieces = F.arrays_zip(F.split(text, ANY, -1).alias("gap"), F.col("__mentions").alias("m"))
     replaced = F.array_join(F.transform(pieces, lambda z: F.concat(z["gap"], F.when(
-        z["m"].isNotNull(), surrogate(key, z["m"]["kind"], z["m"]["entity"], attempts)).otherwise(""))), "")
+        z["m"].isNotNull(), surrogate(key, z["m"]["kind"], z["m"]["entity"], z["m"]["attempt"], attempts)).otherwise(""))), "")
     counts = F.create_map(*[x for kind in KINDS for x in (
         F.lit(kind), F.coalesce(F.size(F.filter("__mentions", lambda m: m["kind"] == kind)), F.lit(0)))])
     counts = F.transform_values(counts, lambda _, n: F.greatest(n, F.lit(0)))
-    out = fenced(marked, ("__mentions",), text=F.when(F.col("__mentions").isNotNull(), replaced).otherwise(text),
+    out = fenced(marked, ("__mentions", *extra), text=F.when(F.col("__mentions").isNotNull(), replaced).otherwise(text),
                  entity_counts=counts)
-    return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in documents.columns else out
+    return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in columns else out
