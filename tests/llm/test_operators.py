@@ -158,6 +158,29 @@ def test_runs_reach_the_recall():
     assert 1 - (1 - 0.8 ** 2) ** chosen_path.runs_for(2) >= chosen_path.RECALL
 
 
+def test_deep_nodes_get_more_runs(spark, monkeypatch):
+    """Pairs at the threshold among classes that share hot tokens, which split many times."""
+    monkeypatch.setattr(chosen_path, "LEAF", 2)
+    rng, n = np.random.default_rng(5), 300
+    first = rng.integers(0, 3, (n, chosen_path.SKETCH))
+    second = np.where(rng.random(first.shape) < 0.8, first, 3 + rng.integers(0, 3, first.shape))
+    rows = [(f"{i:05d}{side}".encode(), sketch.tolist()) for side, part in enumerate((first, second)) for i, sketch in enumerate(part)]
+    levels, depths, children, runs_for = [], [], chosen_path._children, chosen_path.runs_for
+    monkeypatch.setattr(chosen_path, "_children", lambda rows, depth: (levels.append(depth + 1), children(rows, depth))[1])
+    monkeypatch.setattr(chosen_path, "runs_for", lambda depth, *more: (depths.append(depth), runs_for(depth, *more))[1])
+    found = chosen_path.leaves(spark.createDataFrame(rows, "key binary, sketch array<int>"), Staging(spark))
+    pairs = found.groupBy("leaf", F.substring("key", 1, 5).alias("pair")).agg(F.count(F.lit(1)).alias("n")).filter("n = 2")
+    assert max(depths) == max(levels) >= 5
+    assert n - pairs.select("pair").distinct().count() <= 1
+
+
+def test_runs_reach_the_recall_at_any_depth():
+    for depth in range(1, chosen_path.DEEPEST + 1):
+        assert chosen_path.missed(depth, chosen_path.runs_for(depth)) <= 1 - chosen_path.RECALL
+    with pytest.raises(ValueError):
+        chosen_path.runs_for(2, threshold=0.5)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (50, 50)]
     binary = spark.createDataFrame(edges, "a int, b int").select(

@@ -10,8 +10,9 @@ of copies of any size costs one row.
    each class to the child of its token there. A node is split again while it is large, unless it
    holds at least half of its parent: such a node consists of near copies, which no token parts.
    Classes alone in a node are done.
-3. Repeat: runs are added until a pair at the threshold shares a leaf with the wanted probability.
-   A pair survives a split with at least the threshold's probability, so the depth gives a bound.
+3. Repeat: runs are added until a pair at the threshold shares a leaf with the wanted probability,
+   whatever depth the nodes reached. All runs look at the same sketches, so the chance of a miss is
+   summed over the number of places in which the two sketches agree.
 4. Brute force in the leaves, in squares of blocks where a leaf is large, so no task holds more than
    two blocks. Sketches and sizes find candidate pairs; classes that have one get their shingles
    (from a second look at the texts), and similarity is computed exactly. A pair that shares several
@@ -25,7 +26,7 @@ are kept as they are; a class whose ids are all null has a null id.
 
 import re
 from hashlib import blake2b
-from math import ceil, log
+from math import comb
 from zlib import crc32
 
 import numpy as np
@@ -39,6 +40,9 @@ SKETCH = 64
 # A leaf up to this size is compared in one task; also the size of blocks of larger ones.
 LEAF = 512
 DEEPEST = 8
+LEAST_RUNS = 10
+# The share of nodes that sample a second place.
+TWICE = 0.25
 # Sketches of a pair at the threshold agree in fewer places with a chance below one in a million.
 AGREE = 33
 
@@ -121,9 +125,26 @@ def _shingles(batches):
 
 # Splitting
 
+def missed(depth, runs, threshold=THRESHOLD):
+    """Chance that a pair at the threshold shares no leaf of this depth, or fails the test of ``AGREE``."""
+    total, twice = 0, TWICE * (SKETCH - 1) / SKETCH
+    for agreeing in range(SKETCH + 1):
+        together, same = 1, agreeing / SKETCH
+        for _ in range(depth):
+            together = (1 - twice) * same * together + twice * (1 - (1 - same * together) ** 2)
+        chance = comb(SKETCH, agreeing) * threshold ** agreeing * (1 - threshold) ** (SKETCH - agreeing)
+        total += chance * ((1 - together) ** runs if agreeing >= AGREE else 1)
+    return total
+
+
 def runs_for(depth, threshold=THRESHOLD, recall=RECALL):
     """Runs after which a pair at the threshold shares a leaf of this depth with probability ``recall``."""
-    return ceil(log(1 - recall) / log(1 - threshold ** max(depth, 1)))
+    if missed(0, 1, threshold) > 1 - recall:
+        raise ValueError(f"no number of runs finds pairs of similarity {threshold} with probability {recall}")
+    runs = LEAST_RUNS
+    while missed(depth, runs, threshold) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def _children(rows, depth):
@@ -133,7 +154,7 @@ def _children(rows, depth):
     if depth == 0:
         # The places of the roots are spread over the sketch.
         place = [(F.col("run") % SKETCH).cast("int"), ((F.col("run") + SKETCH // 2) % SKETCH).cast("int")]
-    twice = F.pmod(F.xxhash64(node, F.lit(3)), F.lit(4)) == 0
+    twice = F.pmod(F.xxhash64(node, F.lit(3)), F.lit(round(1 / TWICE))) == 0
     child = [F.xxhash64(node, p, F.get("sketch", p)) for p in place]
     return rows.select("run", "key", "above", F.explode(
         F.when(twice & (place[0] != place[1]), F.array(*child)).otherwise(F.array(child[0]))).alias("child"))
@@ -159,7 +180,7 @@ def leaves(classes, staging, threshold=THRESHOLD, recall=RECALL):
                 break
             rows = rest.join(classes.select("key", "sketch"), "key")
         depth = max(depth, level)
-        runs, wanted = wanted, max(wanted, runs_for(min(depth, 3), threshold, recall))
+        runs, wanted = wanted, max(wanted, runs_for(depth, threshold, recall))
     union = found[0]
     for more in found[1:]:
         union = union.unionByName(more)
