@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -98,3 +99,83 @@ def site_rule(url):
         ("allow", "com", "/fr/"), ("block", "com", "/de/"))
         if (host == h or host.endswith("." + h)) and path.startswith(p)]
     return max(fits)[1:] if fits else (None, None)
+
+
+def spelling(documents, least=5):
+    """{word: (form, root, n, n_near, form_n)} of (doc_id, text) rows."""
+    counts = Counter()
+    for doc, text in documents:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            run = run.translate(SMALL)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 199 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            if len(run) >= 6:
+                counts[run] += 1
+    n = {w: c for w, c in counts.items() if c >= least}
+    near = {w: [v for v in n if _one_edit(w, v)] for w in n}
+    best = {w: min(vs, key=lambda v: (-n[v], v)) for w, vs in near.items() if vs}
+    form = {w: b for w, b in best.items() if n[b] >= 5 * n[w]}
+    out = {}
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (form.get(w), root, n[w], len(near[w]), n[form[w]] if w in form else None)
+    return out
+
+
+def _one_edit(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    return a[i + (len(a) >= len(b)):] == b[i + (len(b) >= len(a)):]
+
+
+def merkle(rows):
+    """{row number: (doc_id, leaf, subroot, root, proof, folded, verified)} of (doc_id, source, lang, n_chars, text) rows.
+
+    Rows in the order of their source, id and leaf.
+    """
+    def leaf(row):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def tree(nodes):
+        ways, at = [[] for _ in nodes], list(range(len(nodes)))
+        while len(nodes) > 1:
+            for k, i in enumerate(at):
+                run = nodes[i // 16 * 16:i // 16 * 16 + 16]
+                ways[k].append((run[:i % 16], run[i % 16 + 1:]))
+                at[k] = i // 16
+            nodes = [sha("".join(nodes[i:i + 16])) for i in range(0, len(nodes), 16)]
+        return nodes[0], ways
+
+    sources = sorted({r[1] for r in rows}, key=lambda s: (s is not None, (s or "").encode()))
+    groups = [sorted((r for r in rows if r[1] == s), key=lambda r: (r[0] is not None, r[0], leaf(r))) for s in sources]
+    trees = [tree([leaf(r) for r in g]) for g in groups]
+    root, tops = tree([t[0] for t in trees]) if trees else (None, [])
+    out = []
+    for group, (subroot, ways), top in zip(groups, trees, tops):
+        for row, way in zip(group, ways):
+            way, text = way + top, row[4]
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0 and text is not None:
+                text = text.translate(SMALL)
+            node = leaf((*row[:4], text))
+            for left, right in way:
+                node = sha("".join([*left, node, *right]))
+            proof = sha("".join(h for left, right in way for h in left + right))
+            out.append((row[0], leaf(row), subroot, root, proof, node, node == root))
+    return out
+
+
+def chats(turns):
+    """(conv_id, n_turns, turns digest, loss characters, loss digest) of (conv_id, turn, role, text) rows."""
+    by = {}
+    for conv, turn, role, text in turns:
+        by.setdefault(conv, []).append((turn is not None, turn, role or "", text or ""))
+    out = []
+    for conv, rows in by.items():
+        rows.sort()
+        loss = "".join(t for _, _, r, t in rows if r == "assistant")
+        out.append((conv, len(rows), sha("".join(f"{r}\n{t}\n" for _, _, r, t in rows)), len(loss), sha(loss)))
+    return out

@@ -6,7 +6,7 @@ import pytest
 from tripgrid.llm.oracle import ORACLE
 from tripgrid.llm.queries import QUERIES
 
-TABLES = ["documents", "pages", "benchmark", "labels"]
+TABLES = ["documents", "pages", "benchmark", "labels", "conversations"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

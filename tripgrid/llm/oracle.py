@@ -132,6 +132,118 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM held"""
 
+# CRC-32 of a text's UTF-8 bytes, byte by byte with the table of the reflected polynomial.
+_CRC_TABLE = """crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+         lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)"""
+
+
+def _crc32(text):
+    """CRC-32 of an SQL text where ``crc`` is in scope."""
+    octets = (f"list_transform(range(1, 2 * strlen({text}), 2), "
+              f"lambda i: CAST('0x' || substr(hex(encode({text})), i, 2) AS BIGINT))")
+    return (f"xor(list_reduce(list_concat([4294967295], {octets}), "
+            f"lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+_SPELLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, {_SMALL.format("unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+'))")} AS run FROM documents),
+-- Shorter runs cannot become words.
+counted AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS place, run, count(*) AS n
+            FROM runs WHERE length(run) > 5 GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc32("place")} AS h FROM counted, crc),
+spelled AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+            FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled WHERE length(word) > 5 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+        FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word),
+near AS (SELECT word, count(*) AS n_near, min({{'less': -n, 'other': other}}) AS best FROM pairs GROUP BY word),
+judged AS (SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 5 * w.n THEN best.other END AS form,
+                  CASE WHEN -best.less >= 5 * w.n THEN -best.less END AS form_n FROM words w LEFT JOIN near USING (word)),
+steps AS (SELECT word, word AS at FROM judged
+          UNION ALL SELECT s.word, j.form FROM steps s JOIN judged j ON s.at = j.word WHERE j.form IS NOT NULL),
+ends AS (SELECT s.word, s.at AS root FROM steps s JOIN judged j ON s.at = j.word WHERE j.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN ends USING (word)"""
+
+
+def _merkle(most_levels=7):
+    """Level by level; trees of up to 16 ** (most_levels - 1) leaves."""
+    def field(value):
+        return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || {value}, '-')"
+
+    def tree(name, rows):
+        """Levels 0 to the highest of the trees in ``rows`` (``tree, i, h``), and each leaf's siblings."""
+        out = [f"{name}0 AS ({rows})"]
+        for x in range(1, most_levels):
+            out.append(f"""{name}{x} AS (
+  SELECT tree, i // 16 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM {name}{x - 1}
+  WHERE tree IN (SELECT tree FROM {name}{x - 1} GROUP BY tree HAVING count(*) > 1) GROUP BY tree, i // 16)""")
+        levels = " UNION ALL ".join(f"SELECT {x} AS level, tree, i, h FROM {name}{x}" for x in range(most_levels))
+        out.append(f"{name}_all AS ({levels})")
+        out.append(f"""{name}_top AS (SELECT tree, h FROM (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY level DESC) AS k FROM {name}_all) WHERE k = 1)""")
+        out.append(f"""{name}_runs AS (SELECT level, tree, i // 16 AS run, list(h ORDER BY i) AS hs FROM {name}_all GROUP BY ALL)""")
+        return out
+
+    def beside(name, leaf, level):
+        """Left and right siblings of a leaf's way at a level."""
+        at = f"(({leaf} // {16 ** level}) % 16)"
+        run = f"{name}_run{level}"
+        return (f"CASE WHEN {run} IS NULL THEN '' ELSE array_to_string({run}[1:{at}], '') END",
+                f"CASE WHEN {run} IS NULL THEN '' ELSE array_to_string({run}[{at} + 2:], '') END", f"{run} IS NOT NULL")
+
+    joins, picks, sides = [], [], []
+    for name, leaf in (("s", "l.i"), ("t", "l.tree")):
+        key = "l.tree" if name == "s" else "0"
+        for x in range(most_levels - 1):
+            # A tree's last level has no siblings and goes no further up.
+            joins.append(f"LEFT JOIN {name}_runs AS {name}j{x} ON {name}j{x}.level = {x} AND {name}j{x}.tree = {key} "
+                         f"AND {name}j{x}.run = {leaf} // {16 ** (x + 1)} AND EXISTS (SELECT 1 FROM {name}_all q "
+                         f"WHERE q.tree = {key} AND q.level = {x + 1})")
+            picks.append(f"{name}j{x}.hs AS {name}_run{x}")
+            sides.append(beside(name, "i" if name == "s" else "tree", x))
+    proof = " || ".join(f"{left} || {right}" for left, right, _ in sides)
+    steps, before = [], "here"
+    for k, (left, right, there) in enumerate(sides):
+        steps.append(f"f{k} AS (SELECT *, CASE WHEN {there} THEN sha256({left} || v{k} || {right}) ELSE v{k} END AS v{k + 1} FROM {before})")
+        before = f"f{k}"
+    small = _SMALL.format("text")
+    leaf = "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+    tampered = "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", small)) + ")"
+    return f"""
+WITH {_CRC_TABLE},
+leaves AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, {leaf} AS h,
+         CASE WHEN {_crc32("coalesce(CAST(doc_id AS VARCHAR), '')")} % 5 = 0 AND doc_id IS NOT NULL THEN {tampered} ELSE {leaf} END AS now
+  FROM documents, crc),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM leaves),
+{", ".join(tree("s", "SELECT tree, i, h FROM placed"))},
+{", ".join(tree("t", "SELECT 0 AS tree, tree AS i, h FROM s_top"))},
+here AS (SELECT l.doc_id, l.tree, l.i, l.h, l.now AS v0, u.h AS subroot, r.h AS root, {", ".join(picks)}
+         FROM placed l JOIN s_top u ON u.tree = l.tree JOIN t_top r ON r.tree = 0 {" ".join(joins)}),
+{", ".join(steps)}
+SELECT doc_id, h AS leaf, subroot, root, sha256({proof}) AS proof_sha256, v{len(sides)} AS folded_root, v{len(sides)} = root AS verified
+FROM {before}"""
+
+
+_CHAT = r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, i, CASE WHEN i = 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) t(i)),
+spelled AS (
+  SELECT *, regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g') AS written_role,
+         regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') AS written FROM given)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<|im_start|>' || written_role || chr(10) || written || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM spelled GROUP BY conv_id"""
+
 ORACLE = {
     "op2_url_filter": _URLS,
     "op3_decontamination": _DECONTAMINATION,
@@ -139,4 +251,7 @@ ORACLE = {
     "op5_secret_scan": _secrets(),
     "op6_quality_rules": _QUALITY,
     "op10_warc_salvage": _WARC,
+    "op11_spelling_variants": _SPELLING,
+    "op12_merkle_manifest": _merkle(),
+    "op13_chat_tree": _CHAT,
 }
