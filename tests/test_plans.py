@@ -45,3 +45,21 @@ def test_cells_are_merged_before_their_shuffle(spark, export):
     plan = _plan(grid._cells_by_trip().agg(F.count("*")))
     assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_cells_need_no_sort_before_their_shuffle(spark, export):
+    grid = Timetable(export, fx.stop_order(spark, fx.GRID_ORDER))
+    plan = _plan(grid._numbered_cells())
+    assert "Sort" not in plan
+    steps = [line for line in plan.splitlines() if "trp_op_day" in line]
+    assert sum("HashAggregate" in line for line in steps) == 2
+    assert sum("Exchange hashpartitioning" in line for line in steps) == 1
+
+
+def test_ranking_reads_no_cells(spark, export):
+    """The sort sees keys only, and cells are read once for the rows."""
+    grid = Timetable(export, fx.stop_order(spark, fx.GRID_ORDER))
+    assert not {"entries", "display", "cells"} & set(grid._trips.columns)
+    plan = _plan(grid._printed_trips())
+    assert sum("FileScan" in line and "display" in line for line in plan.splitlines()) == 1
+    assert "rangepartitioning" not in _plan(grid.rows)

@@ -261,3 +261,28 @@ def test_trips_are_the_same_before_and_after_rows(spark):
     before = list(map(tuple, first.trips.collect()))
     assert second.rows.count() == len(before) == 5
     assert sorted(map(tuple, second.trips.collect()), key=repr) == sorted(before, key=repr)
+
+
+def test_many_departures_take_the_plain_aggregate(spark, monkeypatch):
+    """Results are the same where departures are too many to number."""
+    numbered = _grid(spark)
+    monkeypatch.setattr(joining, "BROADCAST_ROWS", -1)
+    plain = _grid(spark)
+    assert plain._numbered_cells() is None
+    columns = [c for c in numbered.cells.columns if c != "seen"]
+    assert sorted(map(tuple, plain.cells.select(columns).collect()), key=repr) == sorted(
+        map(tuple, numbered.cells.select(columns).collect()), key=repr)
+    assert _rows(plain) == _rows(numbered) == fx.GRID_ROWS
+    assert [tuple(r) for r in plain.lines.collect()] == [tuple(r) for r in numbered.lines.collect()]
+
+
+def test_rows_and_lines_come_in_printing_order(spark, monkeypatch):
+    """Also where grids are spread over many partitions."""
+    monkeypatch.setattr("tripgrid.plans.timetable._LEAST_ROWS", 1)
+    rows = [r for n in range(40) for r in fx.trip(f"T{n:02d}", "24", [("10", f"{n % 12 + 1}00a"), ("20", "1100p")], ["East", "West"][n % 2])]
+    order = [("24", d, s, s) for d in ("East", "West") for s in ("10", "20")]
+    grid = _grid(spark, rows=rows, order=order)
+    found = [(r.direction, r.trip_rank) for r in grid.rows.collect()]
+    assert found == sorted(found) and len(found) == 40 and grid.rows.rdd.glom().filter(len).count() > 2
+    lines = [r.direction for r in grid.lines.collect()]
+    assert lines == sorted(lines) and len(lines) == 42 and grid.lines.first().line.startswith('"trp_op_day"')

@@ -19,9 +19,14 @@ def bounded(df):
     Where it is too large the join becomes a sort-merge join, whose hot keys adaptive execution
     splits over several tasks. Measuring computes ``df`` once, so pass a scan or a staged table.
     """
+    return F.broadcast(df) if fits(df) else df
+
+
+def fits(df):
+    """Whether a full count of the table's rows and bytes stays below the limits of a broadcast."""
     size = sum((_bytes(quoted(name), kind) for name, kind in df.dtypes), F.lit(0))
     rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return F.broadcast(df) if rows <= BROADCAST_ROWS and total <= BROADCAST_BYTES else df
+    return rows <= BROADCAST_ROWS and total <= BROADCAST_BYTES
 
 
 def _bytes(column, kind):

@@ -28,12 +28,18 @@ def label_trips(df):
     return df.withColumn("trp_op_day", paste("trp_number_trim", "op_day"))
 
 
+def numeric_sheet(stop_order, staging):
+    """The stop-order sheet with numbers, without copies.
+
+    Base rows are distinct in the end; copies in the sheet would only multiply rows in the join.
+    Staged, the sheet is read and made distinct once, then measured and joined.
+    """
+    return staging.table(stop_order.select(*STOP_KEY, to_number(F.col("stop_order")).alias("stop_order")).distinct(), "sheet")
+
+
 def _timed_stops(trip_stops, stop_order, strict_midnight, staging):
     timed = with_display(with_clock(clean_trip_stops(trip_stops), strict_midnight))
-    # Base rows are distinct in the end; copies in the sheet would only multiply rows in the join.
-    # Staged, the sheet is read and made distinct once, then measured and joined.
-    sheet = stop_order.select(*STOP_KEY, to_number(F.col("stop_order")).alias("stop_order")).distinct()
-    sheet = (staging or Staging(trip_stops.sparkSession)).table(sheet, "sheet")
+    sheet = numeric_sheet(stop_order, staging or Staging(trip_stops.sparkSession))
     return fill_placeholder(attach_stop_order(timed, sheet), NO_EVENT, ["evt_sta"])
 
 

@@ -5,14 +5,19 @@ from functools import cached_property
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..fixed_values import DIRECTIONS, EMPTY_CELL, ROUTE_GROUPS
+from ..fixed_values import DIRECTIONS, EMPTY_CELL, NO_EVENT, ROUTE_GROUPS
 from ..functions import aligned_cells
-from ..operators import bounded, ranked
+from ..operators import attach_stop_order, bounded, clean_trip_stops, fill_placeholder, fits, ranked
 from ..schemas import CELL, GRID, TRIP, WIDE_IDS
 from ..sources import Staging, csv_line
-from .base import base_rows
+from .base import base_rows, label_stops, label_trips, numeric_sheet, with_clock, with_display
 from .groups import printed_rows, with_route_group
 
+# A sort key of two numbers below this one is a single long.
+_HALF = 1 << 31
+# Partitions in printing order have so many rows at least.
+_LEAST_ROWS = 1000
+
 
 class ConflictingCells(ValueError):
     """A trip has several times or texts at the same stop."""
@@ -50,26 +55,16 @@ class Timetable:
 
     @cached_property
     def cells(self):
-        """One row per trip and stop: earliest time, its printed text, where the header first has it.
+        """One row per trip and stop: earliest and latest time and printed text, where the header first has it.
 
-        ``first_order`` and ``first_time`` only sort; there, NaN stands for null and comes last.
+        ``seen`` only sorts: the place in the sheet, then the time, missing ones last.
         """
-        base = printed_rows(
-            base_rows(self.trip_stops, self.stop_order, self.strict_midnight, self._staging), self.groups, self.directions
-        )
-        text, time = F.col("departure_save"), _null_last("dep_time_24h")
-        entry = F.struct(time.alias("time"), text.isNull(), text.alias("text"))
-        merged = base.groupBy(*[c for c in CELL if c != "route_group"]).agg(
-            F.min(entry).alias("shown"), F.max(entry).alias("last"),
-            F.min(F.struct(_null_last("stop_order").alias("order"), time.alias("time"))).alias("seen"),
-        )
+        merged = self._numbered_cells()
+        if merged is None:
+            merged = self._plain_cells()
         cells = self._staging.table(
             with_route_group(merged, self.groups).select(
-                *CELL, _no_nan("shown.time").alias("dep_time_24h"),
-                F.col("shown.text").alias("display"), F.col("seen.order").alias("first_order"),
-                F.col("seen.time").alias("first_time"), _no_nan("last.time").alias("latest_time"),
-                F.col("last.text").alias("latest_display"),
-            ),
+                *CELL, "dep_time_24h", "display", "seen", "latest_time", "latest_display"),
             "cells",
         )
         if self.on_conflict == "error":
@@ -78,6 +73,57 @@ class Timetable:
                 raise ConflictingCells(f"several times or texts in one cell, for example {example}")
         return cells
 
+    def _printed(self, rows):
+        return printed_rows(rows, self.groups, self.directions)
+
+    def _numbered_cells(self):
+        """Cells merged by a hash aggregate; None if there are too many departures or stops to broadcast.
+
+        A minimum of time and text needs a sort, one of numbers does not. So departures are numbered in
+        the order in which a cell prefers them, as are the places of the sheet. There are few different
+        departures; reading their clock there spares a regular expression per row, too.
+        """
+        texts = self._printed(clean_trip_stops(self.trip_stops)).select("departure").distinct()
+        known = self._staging.table(
+            with_display(with_clock(texts, self.strict_midnight)).select("departure", "dep_time_24h", "departure_save"), "departures")
+        sheet = numeric_sheet(self.stop_order, self._staging)
+        if not (fits(known) and fits(sheet)):
+            return None
+        # Windows over measured tables.
+        time = _null_last("dep_time_24h")
+        text = F.col("departure_save")
+        known = self._staging.table(known.select(
+            "*", F.dense_rank().over(Window.orderBy(time, text.isNull(), text)).cast("long").alias("entry"),
+            F.dense_rank().over(Window.orderBy(time)).cast("long").alias("time_no")), "entries")
+        sheet = self._staging.table(sheet.withColumn(
+            "stop_order", F.dense_rank().over(Window.orderBy(_null_last("stop_order"))).cast("long")), "places")
+        rows = clean_trip_stops(self.trip_stops).alias("l").join(
+            F.broadcast(known.select(F.col("departure").alias("_departure"), "entry", "time_no")),
+            F.col("l.departure").eqNullSafe(F.col("_departure")))
+        rows = fill_placeholder(attach_stop_order(rows, sheet), NO_EVENT, ["evt_sta"])
+        merged = self._printed(label_trips(label_stops(rows))).groupBy(*[c for c in CELL if c != "route_group"]).agg(
+            F.min("entry").alias("first"), F.max("entry").alias("last"),
+            F.min(F.col("stop_order") * _HALF + F.col("time_no")).alias("seen"))
+        entries = known.select("entry", "dep_time_24h", F.col("departure_save").alias("display")).distinct()
+        shown = F.broadcast(entries.withColumnRenamed("entry", "first"))
+        latest = F.broadcast(entries.select(
+            F.col("entry").alias("last"), F.col("dep_time_24h").alias("latest_time"), F.col("display").alias("latest_display")))
+        return merged.join(shown, "first").join(latest, "last")
+
+    def _plain_cells(self):
+        """The same by a sort aggregate, for any number of departures and stops."""
+        base = self._printed(base_rows(self.trip_stops, self.stop_order, self.strict_midnight, self._staging))
+        text, time = F.col("departure_save"), _null_last("dep_time_24h")
+        entry = F.struct(time.alias("time"), text.isNull(), text.alias("text"))
+        merged = base.groupBy(*[c for c in CELL if c != "route_group"]).agg(
+            F.min(entry).alias("shown"), F.max(entry).alias("last"),
+            F.min(F.struct(_null_last("stop_order").alias("order"), time.alias("time"))).alias("seen"),
+        )
+        return merged.select(
+            *[c for c in CELL if c != "route_group"], _no_nan("shown.time").alias("dep_time_24h"),
+            F.col("shown.text").alias("display"), "seen", _no_nan("last.time").alias("latest_time"),
+            F.col("last.text").alias("latest_display"))
+
     @cached_property
     def conflicts(self):
         """Cells with more than one pair of time and text, a missing one included."""
@@ -85,16 +131,12 @@ class Timetable:
 
     @cached_property
     def _header(self):
-        # Grouping by the header's sort keys, too, leaves only numbers to aggregate: the hash
-        # aggregate shrinks the cells to about one row per stop before anything is shuffled.
+        # Only numbers are aggregated where cells are numbered: a hash aggregate shrinks them to about
+        # one row per stop and route before anything is shuffled.
         served = F.count(F.when(F.col("dep_time_24h") > 0, 1))
-        per_key = self.cells.groupBy(*GRID, "stop_info", "route", "first_order").agg(
-            served.alias("cnt"), F.min("first_time").alias("first_time")
-        )
+        per_key = self.cells.groupBy(*GRID, "stop_info", "route").agg(served.alias("cnt"), F.min("seen").alias("seen"))
         per_stop = per_key.groupBy(*GRID, "stop_info").agg(
-            F.sum("cnt").alias("cnt"),
-            F.min(F.struct("route", "first_order", "first_time")).alias("first_seen"),
-        )
+            F.sum("cnt").alias("cnt"), F.min(F.struct("route", "seen")).alias("first_seen"))
         # One row per header column: as many as one output row has cells.
         grid = Window.partitionBy(*GRID)
         placed = per_stop.withColumn(
@@ -118,57 +160,81 @@ class Timetable:
             F.transform(ordered, lambda s: s["stop_info"]).alias("stop_infos")
         )
 
+    @property
+    def _placed_cells(self):
+        """Cells with their place in the header."""
+        return self.cells.join(bounded(self._header.drop("cnt")), [*GRID, "stop_info"])
+
     def _cells_by_trip(self):
-        """Cells with their place in the header, those of a trip together.
+        """Those of a trip together.
 
         Cells are merged already, so a trip has at most one per header column, and a partial
         aggregate would only sort rows that do not meet before the shuffle.
         """
-        header = bounded(self._header.drop("cnt"))
-        return self.cells.join(header, [*GRID, "stop_info"]).repartition(*TRIP).groupBy(*TRIP)
+        return self._placed_cells.repartition(*TRIP).groupBy(*TRIP)
 
     @cached_property
     def _trips(self):
-        """One row per trip, staged: sorting reads it twice, and ranks and printed lines share it."""
-        # A trip has at most one entry per header column, which bounds what is collected for it.
-        entry = F.when(F.col("display").isNotNull(), F.struct("stop_pos", "display"))
-        trips = self._cells_by_trip().agg(
-            F.max(F.when(F.col("is_anchor"), F.col("dep_time_24h"))).alias("anchor_time"),
-            F.min(F.struct("first_order", "first_time")).alias("first_seen"),
-            F.collect_list(entry).alias("entries"), F.max("width").alias("width"),
-        )
-        return self._staging.table(trips, "trips")
+        """Sort keys of all trips, staged: the sort reads them twice, and no cell of theirs."""
+        keys = self._placed_cells.groupBy(*TRIP).agg(
+            F.max(F.when(F.col("is_anchor"), F.col("dep_time_24h"))).alias("anchor_time"), F.min("seen").alias("first_seen"))
+        return self._staging.table(keys, "trips")
+
+    @cached_property
+    def _ranked_trips(self):
+        return self._staging.table(ranked(self._trips, self._staging, GRID, _trip_order(), "trip_rank").select(
+            *TRIP, "anchor_time", "trip_rank"), "ranks")
 
     @cached_property
     def _filled_trips(self):
-        return ranked(self._trips, self._staging, GRID, _trip_order(), "trip_rank")
+        """Ranked trips with their cells, which are collected as they are read: in no order, and never staged."""
+        # A trip has at most one entry per header column, which bounds what is collected for it.
+        entry = F.when(F.col("display").isNotNull(), F.struct("stop_pos", "display"))
+        trips = self._cells_by_trip().agg(F.collect_list(entry).alias("entries"), F.max("width").alias("width"))
+        return trips.join(bounded(self._ranked_trips), TRIP)
+
+    def _in_printing_order(self, rows, rank):
+        """Rows of grids (``rank`` 0 for header lines), sorted across partitions of about the same size.
+
+        Ranks are dense, so a row's place among all follows from its grid's; nothing is sampled.
+        """
+        parts = int(self.trip_stops.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        sizes = self._ranked_trips.groupBy(*GRID).agg((F.count(F.lit(1)) + 1).alias("_n"))
+        earlier = Window.orderBy(*GRID).rowsBetween(Window.unboundedPreceding, -1)
+        # One row per grid, as in the route groups given.
+        starts = sizes.select(*GRID, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"), F.sum("_n").over(
+            Window.partitionBy()).alias("_all"))
+        size = F.greatest(F.ceil(F.col("_all") / parts), F.lit(_LEAST_ROWS))
+        place = F.floor((F.col("_start") + F.col(rank)) / size).cast("int")
+        placed = rows.join(F.broadcast(starts), GRID).repartitionById(parts, F.least(place, F.lit(parts - 1)))
+        return placed.sortWithinPartitions(*GRID, rank).drop("_start", "_all")
 
     @cached_property
     def trips(self):
         """Trips of each grid, ranked; those that miss the anchor stop come last."""
-        return self._filled_trips.select(*GRID, "trp_op_day", "route", "evt_sta", "anchor_time", "trip_rank")
+        return self._ranked_trips.select(*GRID, "trp_op_day", "route", "evt_sta", "anchor_time", "trip_rank")
 
     @cached_property
     def rows(self):
-        """Ranked trips with ``cells``, an array of printed times aligned to the grid's header."""
+        """Ranked trips with ``cells``, an array of printed times aligned to the grid's header; in printing order."""
+        return self._in_printing_order(self._printed_trips(), "trip_rank")
+
+    def _printed_trips(self):
         return self._filled_trips.select(*GRID, "trip_rank", "trp_op_day", "route", "evt_sta", _printed_cells())
 
     @cached_property
     def lines(self):
-        """Printed CSV lines of all grids in printing order: one sort of trips and header lines."""
-        trips = self._trips.withColumn("cells", _printed_cells()).select(
-            *GRID, "anchor_time", "route", "first_seen", "trp_op_day", "evt_sta", F.lit(1).alias("part"),
-            csv_line(F.concat(F.array(*WIDE_IDS), "cells")).alias("line"),
-        )
-        titles = self.headers.select(*GRID, F.lit(0).alias("part"), csv_line(
+        """Printed CSV lines of all grids in printing order, header lines first."""
+        trips = self._printed_trips().select(
+            *GRID, "trip_rank", csv_line(F.concat(F.array(*WIDE_IDS), "cells")).alias("line"))
+        titles = self.headers.select(*GRID, F.lit(0).alias("trip_rank"), csv_line(
             F.concat(F.array(*map(F.lit, WIDE_IDS)), "stop_infos")).alias("line"))
-        both = titles.unionByName(trips, allowMissingColumns=True)
-        return both.orderBy(*GRID, "part", *_trip_order()).select(*GRID, "line")
+        return self._in_printing_order(titles.unionByName(trips), "trip_rank").select(*GRID, "line")
 
     @cached_property
     def timetable_cells(self):
         """The grids in long form, empty cells included."""
-        titled = self.rows.join(bounded(self.headers), GRID)
+        titled = self._printed_trips().join(bounded(self.headers), GRID)
         return titled.select(
             *GRID, "trip_rank", "trp_op_day", "route", "evt_sta",
             F.posexplode(F.arrays_zip("stop_infos", "cells")).alias("place", "cell"),
@@ -185,7 +251,7 @@ class Timetable:
     def wide(self, group, direction):
         """One grid with one text column per stop; no rows where the grid is empty."""
         stops = self.header(group, direction)
-        one = self.rows.filter((F.col("route_group") == group) & (F.col("direction") == direction))
+        one = self._printed_trips().filter((F.col("route_group") == group) & (F.col("direction") == direction))
         return one.select(
             "trip_rank", *WIDE_IDS, *[F.get("cells", F.lit(i)).alias(stop) for i, stop in enumerate(stops)]
         )
