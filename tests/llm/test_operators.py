@@ -181,6 +181,36 @@ def test_runs_reach_the_recall_at_any_depth():
         chosen_path.runs_for(2, threshold=0.5)
 
 
+def _templates(n, linked):
+    """Texts that share 150 of 245 words and nothing else, each with a near copy if ``linked``."""
+    shared = _prose(150)
+    texts = [shared + " " + " ".join(f"own{random.getrandbits(40)}" for _ in range(95)) for _ in range(n)]
+    return texts + [t.rsplit(" ", 6)[0] + " " + " ".join(f"new{random.getrandbits(40)}" for _ in range(6)) for t in texts if linked]
+
+
+@pytest.mark.parametrize("n, linked", [(1500, False), (3000, False), (1500, True)])
+def test_texts_of_a_template_do_not_meet_all_against_all(spark, monkeypatch, n, linked):
+    """Rows in the leaves' squares stay in proportion to the texts, and all links are found."""
+    rows, squares = list(enumerate(_templates(n, linked))), []
+    plain = chosen_path._squares
+    monkeypatch.setattr(chosen_path, "_squares", lambda r: (squares.append(Staging(spark).table(plain(r), "squares")), squares[-1])[1])
+    got = {r.doc_id: (r.class_id, r.n_links) for r in chosen_path.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # A text goes to one leaf for each of its tokens at most, and to a few others.
+    assert len(got) == len(rows) and squares[0].count() < (1.5 * chosen_path.SKETCH if linked else 20) * len(rows)
+    largest = squares[0].groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    assert largest <= chosen_path.LEAF
+    assert all(got[i] == ((i % n, 1) if linked else (i, 0)) for i in got)
+
+
+def test_a_large_group_inside_a_template_is_found(spark):
+    """Six hundred near copies among texts that share only a template with them."""
+    texts, base = _templates(900, False), _templates(1, False)[0].split()
+    group = [" ".join([*base[:-3], *(f"last{i}x{k}" for k in range(3))]) for i in range(600)]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in chosen_path.jaccard_join(
+        spark.createDataFrame(list(enumerate(texts + group)), "doc_id long, text string")).collect()}
+    assert all(got[i] == ((900, 599) if i >= 900 else (i, 0)) for i in got)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (50, 50)]
     binary = spark.createDataFrame(edges, "a int, b int").select(

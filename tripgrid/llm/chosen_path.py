@@ -7,8 +7,14 @@ of copies of any size costs one row.
 1. Embed: each set as ``SKETCH`` minwise hashes. Its tokens are pairs of place and value; two sets of
    similarity ``s`` share a token with probability ``s``.
 2. Split: in each run a node samples one place, sometimes two (1.25 on average, 1 / 0.8), and hands
-   each class to the child of its token there. A node is split again while it is large, unless it
-   holds at least half of its parent: such a node consists of near copies, which no token parts.
+   each class to the child of its token there. A node is split again while it is large and sizes
+   fall. One that keeps half of its parent is judged by its sketches: a tight one, whose
+   classes agree in ``TIGHT`` of their places on average, holds near copies and is a leaf. A loose
+   one holds texts that share a template, which sampled tokens part only slowly; its classes split on
+   all their tokens at once, and each of these nodes is small, or tight, or a token of the
+   template, which is left. So texts of a template that are not similar never meet all against all;
+   similar ones share tokens outside it. Classes with fewer than ``OWN`` tokens outside could be missed
+   that way, so they are split further by sampled tokens as well, up to ``DEEPEST`` levels.
    Classes alone in a node are done.
 3. Repeat: runs are added until a pair at the threshold shares a leaf with the wanted probability,
    whatever depth the nodes reached. All runs look at the same sketches, so the chance of a miss is
@@ -25,13 +31,14 @@ are kept as they are; a class whose ids are all null has a null id.
 """
 
 import re
+from functools import reduce
 from hashlib import blake2b
 from math import comb
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import Staging, bounded, matching
 
@@ -39,10 +46,13 @@ SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.9999
 SKETCH = 64
 # A leaf up to this size is compared in one task; also the size of blocks of larger ones.
 LEAF = 512
-DEEPEST = 8
+DEEPEST = 12
 LEAST_RUNS = 10
 # The share of nodes that sample a second place.
 TWICE = 0.25
+# Large nodes are judged by so many of their classes and places. Below this mean agreement they are loose:
+# similar texts then share a token outside the template, unless they have few of these (miss: 2 in 100,000 with OWN).
+JUDGED, PROBES, TIGHT, OWN = 512, 16, 0.6, 16
 # Sketches of a pair at the threshold agree in fewer places with a chance below one in a million.
 AGREE = 33
 
@@ -160,30 +170,89 @@ def _children(rows, depth):
         F.when(twice & (place[0] != place[1]), F.array(*child)).otherwise(F.array(child[0]))).alias("child"))
 
 
+def _judged(nodes, classes, staging):
+    """Which large nodes are tight: ``node, tight`` of nodes (``node, key, size``; staged).
+
+    The mean over some places of how often two classes of the node agree, of a bounded number of them;
+    it decides where a node's pairs are looked for, not whether.
+    """
+    drawn = F.pmod(F.xxhash64("key", "node"), F.col("size")) < JUDGED
+    some = nodes.filter(drawn).join(classes.select("key", "sketch"), "key")
+    step = SKETCH // PROBES
+    probes = some.select("node", "key", F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.lit(PROBES - 1)), lambda i: F.get("sketch", (i * step).cast("int")))).alias("place", "value"))
+    equal = probes.groupBy("node", "place", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("node", "place").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs"))
+    share = F.sum("pairs") / F.greatest(F.sum(F.col("n") * (F.col("n") - 1)), F.lit(1))
+    return staging.table(equal.groupBy("node").agg((share >= TIGHT).alias("tight")), "judged")
+
+
+def _spread(loose, classes, staging, batch):
+    """Split classes of loose nodes (``key``) on all their tokens: leaves (``leaf, key, size``), and the keys to split further."""
+    tokens = loose.join(classes.select("key", "sketch"), "key").select("key", F.posexplode("sketch").alias("place", "value"))
+    tokens = staging.table(tokens.select("key", F.xxhash64(F.lit("token"), F.lit(batch), "place", "value").alias("node")), "tokens")
+    sizes = staging.table(tokens.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "token_sizes")
+    small = tokens.join(sizes.filter(F.col("size") <= LEAF), "node")
+    # Tokens of a template are few; whatever shares one meets it here without a shuffle.
+    large = staging.table(tokens.join(bounded(sizes.filter(F.col("size") > LEAF)), "node"), "large_tokens")
+    tight = _judged(large, classes, staging).filter("tight").select("node")
+    both = small.unionByName(large.join(bounded(tight), "node", "left_semi").select(*small.columns))
+    few = large.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SKETCH - OWN).select("key")
+    return both.select(F.col("node").alias("leaf"), "key", "size"), staging.table(few, "few_own")
+
+
+def _descend(rows, level, classes, staging, further):
+    """Split ``rows`` (``run, key, sketch, node, above``) down to leaves.
+
+    Returns leaves (``leaf, key, size``), rows of loose nodes (``run, key, node, above``), and the depth reached. Loose
+    nodes are split like others if ``further``.
+    """
+    found, loose = [], []
+    while True:
+        split = staging.table(_children(rows, level), f"level{level}")
+        level += 1
+        sizes = split.groupBy("child").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        nodes = staging.table(split.join(sizes, "child"), f"nodes{level}")
+        found.append(nodes.filter(F.col("size") <= LEAF).select(F.col("child").alias("leaf"), "key", "size"))
+        large = nodes.filter(F.col("size") > LEAF).withColumnRenamed("child", "node")
+        if level >= DEEPEST and further:
+            found.append(large.select(F.col("node").alias("leaf"), "key", "size"))
+            return found, loose, level
+        stuck = F.coalesce(2 * F.col("size") >= F.col("above"), F.lit(False)) if level < DEEPEST else F.lit(True)
+        rest = large.filter(~stuck).select("run", "key", "node", F.col("size").alias("above"))
+        met = staging.table(large.filter(stuck).select("run", "key", "node", "size"), f"stuck{level}")
+        if not met.isEmpty():
+            met = staging.table(met.join(bounded(_judged(met, classes, staging)), "node"), f"met{level}")
+            found.append(met.filter("tight").select(F.col("node").alias("leaf"), "key", "size"))
+            slow = met.filter("not tight").select("run", "key", "node", F.col("size").alias("above"))
+            if further:
+                rest = rest.unionByName(slow)
+            else:
+                loose.append(slow)
+        if rest.isEmpty():
+            return found, loose, level
+        rows = rest.join(classes.select("key", "sketch"), "key")
+
+
 def leaves(classes, staging, threshold=THRESHOLD, recall=RECALL):
     """Leaves of all runs: ``leaf, key, blocks``; those with one class only are left out."""
     found, runs, wanted, depth = [], 0, runs_for(2, threshold, recall), 0
     while runs < wanted:
         rows = classes.select("key", "sketch", F.explode(F.array(*map(F.lit, range(runs, wanted)))).alias("run"))
         rows = rows.withColumn("node", F.xxhash64(F.lit("root"), "run")).withColumn("above", F.lit(None).cast("long"))
-        level = 0
-        while True:
-            split = staging.table(_children(rows, level), f"level{level}")
-            level += 1
-            sizes = split.groupBy("child").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-            nodes = staging.table(split.join(sizes, "child"), f"nodes{level}")
-            part = (F.col("size") <= LEAF) | F.coalesce(2 * F.col("size") >= F.col("above"), F.lit(False))
-            done = part if level < DEEPEST else F.lit(True)
-            found.append(nodes.filter(done).select(F.col("child").alias("leaf"), "key", "size"))
-            rest = nodes.filter(~done).select("run", "key", F.col("child").alias("node"), F.col("size").alias("above"))
-            if rest.isEmpty():
-                break
-            rows = rest.join(classes.select("key", "sketch"), "key")
+        more, loose, level = _descend(rows, 0, classes, staging, False)
+        found += more
+        if loose:
+            loose = staging.table(reduce(DataFrame.unionByName, loose), "loose")
+            spread, few = _spread(loose.select("key").distinct(), classes, staging, runs)
+            found.append(spread)
+            rest = staging.table(loose.join(bounded(few), "key", "left_semi"), "rest")
+            if not rest.isEmpty():
+                more, _, level = _descend(rest.join(classes.select("key", "sketch"), "key"), level, classes, staging, True)
+                found += more
         depth = max(depth, level)
         runs, wanted = wanted, max(wanted, runs_for(depth, threshold, recall))
-    union = found[0]
-    for more in found[1:]:
-        union = union.unionByName(more)
+    union = reduce(DataFrame.unionByName, found)
     blocks = F.ceil(F.col("size") / LEAF).cast("int")
     return staging.table(union.select("leaf", "key", blocks.alias("blocks")).distinct(), "leaves")
 
@@ -323,7 +392,8 @@ def _gathered(rows, *columns):
 def components(edges, staging):
     """``key, component`` of undirected ``a, b`` edges (binary): star contraction until nothing changes.
 
-    Each step joins nodes with their smallest neighbour; no neighbourhood is gathered in one place.
+    Each step joins nodes with their smallest neighbour. No neighbourhood is gathered in one place: the
+    smallest ones are few enough to broadcast, or the edges of a hub are split over tasks by adaptive execution.
     """
     edges = staging.table(edges.filter("a != b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
@@ -332,7 +402,8 @@ def components(edges, staging):
         for large in (True, False):
             both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
             least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
-            near = both.join(least, "a")
+            least = staging.table(least, "least")
+            near = both.join(bounded(least), "a")
             if large:
                 new = near.filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
             else:
@@ -379,12 +450,17 @@ def jaccard_join(documents, threshold=THRESHOLD, recall=RECALL, staging=None):
     linked = staging.table(_gathered(full, "key", "n_shingles", "block", "paths", "sketch", "copies", "shingles").mapInArrow(
         _linked(threshold), "key binary, root binary, links long"), "linked")
     links = linked.groupBy("key").agg(F.sum("links").alias("links"))
-    grouped = components(linked.select(F.col("key").alias("a"), F.col("root").alias("b")), staging)
+    edges = components(linked.select(F.col("key").alias("a"), F.col("root").alias("b")), staging)
+    # Only classes with links are in groups; the others are their own.
+    members = edges.unionByName(edges.select(F.col("component").alias("key"), "component")).distinct()
+    members = staging.table(members.join(classes.select("key", "first_id"), "key"), "members")
+    ids = staging.table(members.groupBy("component").agg(F.min("first_id").alias("class_id")), "ids")
+    grouped = members.join(bounded(ids), "component").select("key", "component", "class_id", F.lit(True).alias("in_group"))
     result = classes.select("key", "first_id", "copies").join(links, "key", "left").join(grouped, "key", "left")
-    result = result.withColumn("component", F.coalesce("component", "key"))
-    ids = result.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    result = staging.table(result.join(ids, "component").select(
-        "key", "component", "class_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "result")
+    result = staging.table(result.select(
+        "key", F.coalesce("component", "key").alias("component"),
+        F.when(F.col("in_group"), F.col("class_id")).otherwise(F.col("first_id")).alias("class_id"), "copies",
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "result")
     has_words = F.col("key").isNotNull()
     return sets.join(result, "key", "left").select(
         "doc_id", F.when(has_words, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
