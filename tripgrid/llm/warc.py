@@ -7,7 +7,10 @@ name; a task that runs again replaces its own files, so lost executors leave not
 
 The reader takes any archive as it is, compressed or not. Each record is checked: the member's
 checksum, version line, lengths, block digest. After a failed check it searches for the next valid
-member or version line, goes on from there, and logs the bytes in between as a quarantined gap.
+member or version line, goes on from there, and logs the bytes in between as a quarantined gap. That
+search goes on inside a member: a damaged record costs no other, and of a member that is damaged or cut off
+the records that can be inflated whole and fit their digests are kept. An archive is one row of Spark's
+binary reader, which ends at 2 GiB; the writer closes them far below.
 
 Null payloads are empty, null urls have no target. Null page ids neither hold for nor refer to
 others; rows that share the smallest id of a payload are all responses.
@@ -118,8 +121,19 @@ def write_warc(pages, folder, archive_bytes=ARCHIVE_BYTES):
 
 # Reading
 
-def _parsed(data, at):
-    """The record that starts at ``at`` in plain bytes: ``(headers, block, end)``; ValueError if damaged."""
+_WHOLE_PARTS = {"warc", "id", "uri", "ip"}
+
+
+def _header_name(name):
+    """Header names have no case; this is how they are usually written."""
+    return "-".join(p.upper() if p.lower() in _WHOLE_PARTS else p.capitalize() for p in name.strip().split("-"))
+
+
+def _parsed(data, at, checked=False):
+    """The record that starts at ``at`` in plain bytes: ``(headers, block, end)``; ValueError if damaged.
+
+    With ``checked`` a record without a digest does not count, as where the member's own check failed.
+    """
     if data[at:at + len(_VERSION)] != _VERSION:
         raise ValueError("no version line")
     split = data.find(b"\r\n\r\n", at)
@@ -131,69 +145,112 @@ def _parsed(data, at):
         name, colon, value = line.partition(":")
         if not colon:
             raise ValueError("malformed header")
-        headers[name.strip()] = value.strip()
-    if not headers.get("Content-Length", "").isdigit():
+        headers[_header_name(name)] = value.strip()
+    length = headers.get("Content-Length", "")
+    if not (length.isascii() and length.isdigit()):
         raise ValueError("no length")
     start = split + 4
-    end = start + int(headers["Content-Length"])
+    end = start + int(length)
     if data[end:end + 4] != b"\r\n\r\n":
         raise ValueError("record does not end where its length says")
     block = data[start:end]
     digest = headers.get("WARC-Block-Digest", "")
-    if digest.startswith("sha256:") and digest[7:] != hashlib.sha256(block).hexdigest():
+    known = digest.lower().startswith("sha256:")
+    if known and digest[7:].lower() != hashlib.sha256(block).hexdigest():
         raise ValueError("block digest differs")
+    if checked and not known:
+        raise ValueError("record without a digest in a damaged member")
     return headers, block, end + 4
 
 
 def _inflated(data, at):
-    """The gzip member at ``at``: ``(bytes, end)``; ValueError if damaged."""
-    unpacker = zlib.decompressobj(31)
+    """The gzip member at ``at``: ``(bytes, end, error)``; of a damaged one what can be inflated, and no end."""
+    unpacker, parts, step = zlib.decompressobj(31), [], at
     try:
-        # Members end early, so input is handed over in steps.
-        parts, step = [], at
+        # Members end early, so input is handed over in steps; small ones, as a damaged step yields nothing.
         while not unpacker.eof:
             if step >= len(data):
-                raise ValueError("member is cut off")
-            parts.append(unpacker.decompress(data[step:step + 65536]))
-            step += 65536
-    except zlib.error as error:
-        raise ValueError("member is damaged") from error
-    return b"".join(parts), min(step, len(data)) - len(unpacker.unused_data)
+                return b"".join(parts), None, "member is cut off"
+            parts.append(unpacker.decompress(data[step:step + 4096]))
+            step += 4096
+    except zlib.error:
+        # Once more byte by byte, up to the damage.
+        again = zlib.decompressobj(31)
+        parts = []
+        try:
+            for i in range(at, min(step + 4096, len(data))):
+                parts.append(again.decompress(data[i:i + 1]))
+        except zlib.error:
+            pass
+        return b"".join(parts), None, "member is damaged"
+    return b"".join(parts), min(step, len(data)) - len(unpacker.unused_data), None
+
+
+def _within(plain, checked):
+    """Records and gaps inside a member's bytes: ``(headers, block)`` or ``(None, reason)``."""
+    at, bad, out = 0, None, []
+    while at < len(plain):
+        try:
+            headers, block, end = _parsed(plain, at, checked)
+        except ValueError as error:
+            if bad is None:
+                bad = (at, str(error))
+            following = plain.find(_VERSION, at + 1)
+            at = len(plain) if following < 0 else following
+            continue
+        if bad is not None:
+            out.append((None, f"bytes {bad[0]} to {at} of a member: {bad[1]}"))
+            bad = None
+        out.append((headers, block))
+        at = end
+    if bad is not None:
+        out.append((None, f"bytes {bad[0]} to {at} of a member: {bad[1]}"))
+    return out
 
 
 def _at(data, at):
-    """Records of the member or plain record at ``at`` and where it ends."""
-    if data[at:at + 3] == _MAGIC:
-        plain, end = _inflated(data, at)
-        records, inner = [], 0
-        while inner < len(plain):
-            headers, block, inner = _parsed(plain, inner)
-            records.append((headers, block))
-        if not records:
-            raise ValueError("empty member")
-        return records, end
+    """What is at ``at``: ``(records and gaps, end, error)``; ValueError if nothing there is a record."""
+    if data[at:at + len(_MAGIC)] == _MAGIC:
+        plain, end, error = _inflated(data, at)
+        parts = _within(plain, error is not None)
+        if not any(headers is not None for headers, _ in parts):
+            raise ValueError(error or (parts[0][1] if parts else "empty member"))
+        if error is not None:
+            # What follows the last record is part of the gap that the damage makes.
+            while parts[-1][0] is None:
+                parts.pop()
+        return parts, end, error
     headers, block, end = _parsed(data, at)
-    return [(headers, block)], end
+    return [(headers, block)], end, None
 
 
 def salvage(data):
-    """Yield ``(offset, end, reason, headers, block)``: records (reason None) and gaps (no headers)."""
+    """Yield ``(offset, end, reason, headers, block)``: records (reason None) and gaps (no headers).
+
+    Records of one member share its offset. So does a gap inside it; that of a member which is damaged
+    or cut off runs on to the next valid member or version line.
+    """
     at, bad, reason = 0, None, None
     while at < len(data):
         try:
-            records, end = _at(data, at)
-        except ValueError as error:
-            if bad is None:
-                bad, reason = at, str(error)
-            following = [p for p in (data.find(_MAGIC, at + 1), data.find(_VERSION, at + 1)) if p >= 0]
-            at = min(following, default=len(data))
-            continue
-        if bad is not None:
+            parts, end, error = _at(data, at)
+        except ValueError as failed:
+            parts, end, error = [], None, str(failed)
+        if parts and bad is not None:
             yield bad, at, reason, None, None
             bad = None
-        for headers, block in records:
-            yield at, end, None, headers, block
-        at = end
+        for headers, content in parts:
+            if headers is None:
+                yield at, len(data) if end is None else end, content, None, None
+            else:
+                yield at, len(data) if end is None else end, None, headers, content
+        if error is None:
+            at = end
+            continue
+        if bad is None:
+            bad, reason = at, error
+        following = [p for p in (data.find(_MAGIC, at + 1), data.find(_VERSION, at + 1)) if p >= 0]
+        at = min(following, default=len(data))
     if bad is not None:
         yield bad, len(data), reason, None, None
 
@@ -225,7 +282,7 @@ def _reader(batches):
                 yield batch_of(rows)
 
 
-def read_warc(spark, folder, glob="*.warc.gz"):
+def read_warc(spark, folder, glob="*.{warc,warc.gz}"):
     """Records and gaps of all archives in a folder.
 
     ``archive, offset, length, reason, headers, http, payload``; a row with a ``reason`` is a
@@ -236,7 +293,7 @@ def read_warc(spark, folder, glob="*.warc.gz"):
 
 
 def page_records(records, page_id_type="bigint"):
-    """Of read records: ``page_id, payload_bytes, payload_digest, record_type, refers_to, gaps``."""
+    """Of read records: ``page_id, payload_bytes, payload_digest, record_type, refers_to``."""
     def named(header):
         return F.regexp_extract(F.col("headers")[header], "^<urn:page:(.*)>$", 1)
 
@@ -250,3 +307,8 @@ def page_records(records, page_id_type="bigint"):
         F.col("headers")["WARC-Type"].alias("record_type"),
         F.nullif(named("WARC-Refers-To"), F.lit("")).cast(page_id_type).alias("refers_to"),
     )
+
+
+def quarantined(records):
+    """The gap log of read archives: ``archive, offset, length, reason``."""
+    return records.filter("reason is not null").select("archive", "offset", "length", "reason")
