@@ -4,12 +4,13 @@
    first may be shorter. One pass; every piece becomes a thin row in a staged table.
 2. Count pieces by length. There are no more lengths than a sequence has tokens, so this histogram is
    small however many pieces there are; only it reaches the driver.
-3. Plan on the histogram. The longest length left opens a sequence. The index of single, pair and
-   triple sums over the available lengths is asked for an exact complement of its gap, one that holds
-   the longest length that fits; without one that length is the best fit, and the rest of the gap
-   is asked for again. The combination is used as often as the counts allow, so every step uses up a
-   length or closes an odd remainder: a few thousand steps, each standing for any number of equal
-   sequences.
+3. Plan on the histogram. The longest length left opens a sequence. An index of single, pair and
+   triple sums over the available lengths is asked for an exact complement of its gap, first for
+   one that holds the longest length that fits, then for any; without one that length is the best fit,
+   and the rest of the gap is asked for again. The combination is used as often as the counts allow, so
+   every step uses up a length or closes an odd remainder: a few thousand steps, each standing for any
+   number of equal sequences. Complements without the longest fit use up short pieces that fill later
+   gaps, so the plan is also made without them, and the shorter one is taken.
 4. Number the pieces within their length (split over tasks, whatever share a length has), and join
    them with the plan on length and number.
 
@@ -55,8 +56,10 @@ class _Ids(dict):
 
         self.before = {}
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        # Strings with an id of their own stand in the text as they are and part it.
+        self.own = {t.content: np.array([i], "<u4").tobytes() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.parts = re.compile("(" + "|".join(map(re.escape, sorted(self.own, key=len, reverse=True))) + ")") if self.own else None
 
     def __missing__(self, cut):
         ids = self.before.pop(cut, None)
@@ -78,7 +81,10 @@ class _Ids(dict):
         return ids
 
     def of(self, text):
-        return b"".join(map(self.__getitem__, _CUT.findall(text)))
+        if self.parts is None or not self.parts.search(text):
+            return b"".join(map(self.__getitem__, _CUT.findall(text)))
+        return b"".join(self.own[part] if part in self.own else b"".join(map(self.__getitem__, _CUT.findall(part)))
+                        for part in self.parts.split(text))
 
 
 def _ids_of(path):
@@ -130,44 +136,84 @@ def pieces(documents, tokenizer, capacity=CAPACITY, end_id=END_ID, with_ids=Fals
 
 # The plan
 
-def _complement(counts, gap):
-    """The longest length that fits into ``gap``, with one or two others if they fill it exactly.
+class _Sums:
+    """Which sums single, pair and triple lengths have, under how many pieces of each length are left."""
+
+    def __init__(self, counts):
+        self.counts, self.known = counts, None
+
+    def _index(self):
+        """Lengths that are left, and which sums two of them have; made anew when a length is used up."""
+        there = self.counts > 0
+        if self.known is None or not np.array_equal(there, self.known):
+            self.known = there
+            one = there.astype(np.float64)
+            self.two = np.convolve(one, one)[:len(one)] > 0.5
+        return there
+
+    def _left(self, *lengths):
+        return all(self.counts[n] >= lengths.count(n) for n in lengths)
+
+    def pair(self, total, *used):
+        """Two lengths of this sum, the first the longest possible, besides those used."""
+        lengths = np.flatnonzero(self.counts[:total])
+        for a in lengths[(self.counts[total - lengths] > 0) & (2 * lengths >= total)][::-1].tolist():
+            if self._left(*used, a, total - a):
+                return a, total - a
+        return None
 
-    ``counts`` holds how many pieces of each length are left. The sums asked for are those of the
-    longest fit alone, with one and with two more lengths; where none is the gap it is the best fit.
-    Combinations without the longest fit would use up the short pieces that fill later gaps.
-    """
+    def holding(self, a, gap):
+        """An exact complement of ``gap`` by ``a`` and one or two others, if there is one."""
+        rest = gap - a
+        if not rest:
+            return (a,)
+        if self._left(a, rest):
+            return a, rest
+        self._index()
+        two = self.pair(rest, a) if self.two[rest] else None
+        return two and (a, *two)
+
+    def any(self, gap):
+        """Any exact complement of ``gap``, the one with the longest length."""
+        there = self._index()
+        if self.two[gap]:
+            two = self.pair(gap)
+            if two:
+                return two
+        lengths = np.flatnonzero(there[:gap])
+        for a in lengths[self.two[gap - lengths]][::-1].tolist():
+            two = self.pair(gap - a, a)
+            if two:
+                return (a, *two)
+        return None
+
+
+def _complement(counts, gap, sums, any_sum):
+    """Lengths for ``gap``: an exact complement, or else the longest that fits; None if none does."""
     lengths = np.flatnonzero(counts[:gap + 1])
     if not len(lengths):
         return None
-    a = int(lengths[-1])
-    rest = gap - a
-    if rest <= 0:
-        return (a,)
-    if counts[rest] > (rest == a):
-        return (a, rest)
-    second = lengths[(lengths <= a) & (lengths < rest)]
-    third = rest - second
-    ok = (third <= second) & (counts[second] > (second == a)) & (
-        counts[third] >= 1 + (third == second) + (third == a))
-    if ok.any():
-        b = int(second[ok][-1])
-        return (a, b, rest - b)
-    return (a,)
+    longest = int(lengths[-1])
+    return sums.holding(longest, gap) or (any_sum and sums.any(gap)) or (longest,)
 
 
 def plan(histogram, capacity=CAPACITY):
     """Patterns ``(lengths, times)`` that use every piece of ``{length: count}`` exactly once."""
+    plans = [_plan(histogram, capacity, any_sum) for any_sum in (True, False)]
+    return min(plans, key=lambda patterns: sum(times for _, times in patterns))
+
+
+def _plan(histogram, capacity, any_sum):
     counts = np.zeros(capacity + 1, np.int64)
     for length, count in histogram.items():
         counts[length] = count
-    patterns = []
+    patterns, sums = [], _Sums(counts)
     while counts.any():
         longest = int(np.flatnonzero(counts)[-1])
         pattern, gap = [longest], capacity - longest
         counts[longest] -= 1
         while gap:
-            chosen = _complement(counts, gap)
+            chosen = _complement(counts, gap, sums, any_sum)
             if chosen is None:
                 break
             for length in chosen:
