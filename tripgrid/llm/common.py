@@ -2,10 +2,11 @@
 
 from pyspark.sql import Window, functions as F
 
+from ..functions import quoted
 from ..operators import bounded
 from ..sources import Staging
 
-__all__ = ["Staging", "bounded", "ascii_lower", "words", "whole_text", "numbered", "fenced", "matching", "ROW"]
+__all__ = ["Staging", "bounded", "ascii_lower", "words", "whole_text", "numbered", "fenced", "matching", "reserved", "ROW"]
 
 # Words are runs of other characters than ASCII signs, blanks and capitals; texts are lower-cased first.
 # Cutting at the others is several times faster than extracting the words.
@@ -30,13 +31,25 @@ def words(text):
     return F.array_remove(F.split(ascii_lower(whole_text(text)), NO_WORD, -1), "")
 
 
+def reserved(df, *names):
+    """Column names that ``df`` does not use, made from these."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def matching(documents, judged, how):
     """Documents with (``left_semi``) or without (``left_anti``) a judged row of their id and text.
 
     ``judged`` has ``doc_id`` and ``text_hash``; null ids match. No column of the documents can clash.
     """
-    keys = judged.select(F.col("doc_id").alias("__judged_id"), F.col("text_hash").alias("__judged_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__judged_id")) & (F.xxhash64("text") == F.col("__judged_hash"))
+    judged_id, judged_hash = reserved(documents, "judged_id", "judged_hash")
+    keys = judged.select(F.col("doc_id").alias(judged_id), F.col("text_hash").alias(judged_hash)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(judged_id)) & (F.xxhash64("text") == F.col(judged_hash))
     return documents.join(keys, same, how)
 
 
@@ -48,9 +61,9 @@ def fenced(df, drop=(), **columns):
     """
     values = F.inline(F.array(F.struct(*[column.alias(name) for name, column in columns.items()])))
     kept = [c for c in df.columns if c not in drop]
-    others = [F.col(f"`{c}`") for c in kept if c not in columns]
+    others = [quoted(c) for c in kept if c not in columns]
     order = [*kept, *[c for c in columns if c not in kept]]
-    return df.select(*others, values).select(*[F.col(f"`{c}`") for c in order])
+    return df.select(*others, values).select(*map(quoted, order))
 
 
 def numbered(staged, groups, name):

@@ -8,7 +8,8 @@ query's mask, done where the document is read. Only documents that satisfy a rul
 regular expression. Rules without mandatory trigrams scan every document.
 
 Null texts are empty. Long texts are scanned whole; findings of a document are thin rows, so a text
-never leaves the task that read it. Repeated documents each get their own findings.
+never leaves the task that read it. Repeated documents each get their own findings, empty tables none.
+Findings look at ``doc_id`` and ``text`` only; masking keeps all other columns, whatever their names.
 """
 
 import re
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Window, functions as F
 
-from .common import ROW, fenced, whole_text
+from .common import ROW, fenced, reserved, whole_text
 
 # Sub-patterns with more alternatives than this end a literal run instead of branching it.
 MOST_BRANCHES = 48
@@ -49,7 +50,9 @@ BASE_RULES = (
     Rule("hex", "[0-9a-f]{24,}", least=24),
 )
 MORE_RULES = (
-    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # With its body: up to the end line, or what looks like base64 where that is missing.
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+         r"(?:[A-Za-z0-9+/=:,.\x20\t\r\n-]*?-----END [A-Z ]*PRIVATE KEY-----|[\r\n]+[A-Za-z0-9+/=\r\n]*)?"),
     Rule("code_host", "gh[opsru]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("signed_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
@@ -218,9 +221,9 @@ def masked(documents, rules=RULES, mask="[REDACTED]"):
     at the match's end only that group is replaced. ``n_chars``, where there is one, is counted anew.
     Null texts stay null.
     """
-    index = TrigramIndex(rules)
+    index, (postings,) = TrigramIndex(rules), reserved(documents, "postings")
     scanned = F.array_compact(F.array(*[
-        F.when(index.candidate(rule.kind, F.col("__postings")), F.struct(
+        F.when(index.candidate(rule.kind, F.col(postings)), F.struct(
             F.lit(rule.regex).alias("regex"), F.lit(rule.group).alias("group"), F.lit(rule.least).alias("least")))
         for rule in rules]))
 
@@ -237,6 +240,6 @@ def masked(documents, rules=RULES, mask="[REDACTED]"):
         return F.when(F.rlike(text, rule["regex"]), F.array_join(F.transform(cut, piece), "")).otherwise(text)
 
     # One fold over a document's candidate rules, rather than a chain of columns.
-    read = documents.withColumn("__postings", index.postings(whole_text(F.col("text"))))
-    shown = fenced(read, ("__postings",), text=F.aggregate(scanned, F.col("text"), rebuilt))
+    read = documents.withColumn(postings, index.postings(whole_text(F.col("text"))))
+    shown = fenced(read, (postings,), text=F.aggregate(scanned, F.col("text"), rebuilt))
     return shown.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in documents.columns else shown
