@@ -506,6 +506,46 @@ def test_redrawn_emails_get_longer(spark):
     assert len(new) == 10 and len({m.partition("@")[2] for m in new}) == 1
 
 
+def test_many_entities_are_drawn_again(spark, monkeypatch):
+    """A hundred numbers drawn again, met by a join that nothing is broadcast to."""
+    from tripgrid.operators import joining
+
+    monkeypatch.setattr(joining, "BROADCAST_ROWS", 20)
+    plain = pii._feistel
+    monkeypatch.setattr(pii, "_feistel", lambda key, label, a, b, *sizes: plain(key, label, a, b, F.lit(4), F.lit(256)))
+    real = [f"0.{n // 256}.0.{n % 256}" for n in range(0, 1024, 3)]
+    rows = spark.createDataFrame([(i % 90 if i % 7 else None, f"{ip} then {ip}") for i, ip in enumerate(real)], "doc_id long, text string")
+    new = [r.text for r in pii.pseudonymized(rows.withColumn("redrawn", F.lit(1)), "key", Staging(spark)).collect()]
+    assert all(t.split(" then ")[0] == t.split(" then ")[1] for t in new)
+    assert len({t.split()[0] for t in new}) == len(real) and not {t.split()[0] for t in new} & set(real)
+    known = Staging(spark).table(pii.entities(pii.found_mentions(rows)), "known")
+    assert pii.drawn_again(known, "key", Staging(spark)).count() > 60
+
+
+def test_dense_numbers_raise(spark, monkeypatch):
+    plain = pii._feistel
+    monkeypatch.setattr(pii, "_feistel", lambda key, label, a, b, *sizes: plain(key, label, a, b, F.lit(1), F.lit(4)))
+    monkeypatch.setattr(pii, "MOST_DRAWS", 3)
+    rows = spark.createDataFrame([(n, f"0.0.0.{n}") for n in range(4)], "doc_id long, text string")
+    with pytest.raises(RuntimeError, match="ip"):
+        pii.pseudonymized(rows, "key", Staging(spark))
+
+
+def test_names_keep_script_particles_and_capitals(spark, documents, none):
+    import re
+
+    texts = ["Mr Παύλος Νίκος", "Ms José María de la Cruz", "Mr SMITH", "Mrs O'Brien-Jones", "Mr Smith", "Г-н Пётр"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = [r.text for r in pii.pseudonymized(rows, "key", Staging(spark)).orderBy("doc_id").collect()]
+    assert all(a != b for a, b in zip(new, texts))
+    for pattern, text in zip((r"Mr [Α-Ω][α-ως]+νος [Α-Ω][α-ω]+", r"Ms [A-Z][a-z]+na [A-Z][a-z]+ de la [A-Z][a-z]+", "Mr [A-Z]{4,}",
+                              "Mrs [A-Z][a-z]+", "Mr [A-Z][a-z]+", "Г-н [А-Я][а-я]+"), new):
+        assert re.fullmatch(pattern, text), text
+    kept = pii.pseudonymized(documents, "key", Staging(spark))
+    assert kept.columns == [*documents.columns, "entity_counts"] and kept.count() == len(DOCUMENTS)
+    assert pii.pseudonymized(none, "key", Staging(spark)).count() == 0
+
+
 # WARC
 
 PAGES = [(i, f"http://x.org/{i}\r\nX: y", t) for i, t in enumerate(
@@ -637,6 +677,46 @@ def test_top_k_is_exact(spark):
         assert kept == [p for p in every if p >= every[k - 1]] and k <= len(kept) <= k + 1
 
 
+def test_one_label_for_many_copies(spark):
+    """Copies of a labelled document reach the driver as one row, and the border does not move."""
+    documents, labels, _ = _labelled(spark)
+    staging = Staging(spark)
+    held = importance.labelled_sample(labels, staging).filter("good and held").first().doc_id
+    many = documents.unionByName(documents.filter(F.col("doc_id") == held).join(spark.range(3000)).drop("id"))
+    model = importance.fit(documents, labels, staging)
+    sizes = [importance.held_scores(d, model.ratios, F.broadcast(importance.labelled_sample(labels, staging))).count() for d in (documents, many)]
+    assert sizes[0] == sizes[1] < 200
+
+
+def test_ratios_and_weights(spark):
+    """Models and weights recomputed plainly from the texts."""
+    documents, labels, _ = _labelled(spark)
+    staging = Staging(spark)
+    model = importance.fit(documents, labels, staging)
+    chosen = {r.doc_id for r in importance.labelled_sample(labels, staging).filter("good and not held").collect()}
+    raw, target = Counter(), Counter()
+    texts = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    for doc, text in texts:
+        grams = np.concatenate(importance._grams(text or "")).tolist()
+        raw.update(grams)
+        if doc in chosen:
+            target.update(grams)
+    ends = [0, importance._TELL, importance._TELL + importance._STYLE, importance.BUCKETS]
+    for low, high in zip(ends, ends[1:]):
+        n, q = (sum(c for g, c in counts.items() if low <= g < high) + high - low for counts in (target, raw))
+        for g in [g for g in raw if low <= g < high][:500]:
+            assert abs(model.ratios[g] - np.log((target[g] + 1) / n * q / (raw[g] + 1))) < 1e-4
+    got = {(r.doc_id, r.n_grams): r for r in model.weighted(documents).collect()}
+    for doc, text in texts:
+        tell, style = importance._grams(text or "")
+        r = got[doc, len(style)]
+        if len(style):
+            t = np.minimum(model.ratios[tell] + importance.DOUBT, 0).sum() / len(style) ** 0.5
+            s = model.ratios[style].sum() / (len(style) + importance.CALM)
+            want = min((t - model.centres[0]) / model.scales[0], (s - model.centres[1]) / model.scales[1])
+            assert abs(r.log_weight - want) < 1e-3 * max(1, abs(want))
+
+
 def test_importance_without_rows(spark, none):
     documents, labels, _ = _labelled(spark, 40)
     assert importance.resample(none, labels).count() == 0

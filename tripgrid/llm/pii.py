@@ -15,24 +15,32 @@ computed in the task that reads the text:
 Surrogates may collide: two entities share one, or one equals an entity. A check over all distinct
 entities (only these are shuffled) finds them. Of numbers and e-mails only the entities concerned are
 drawn again, each with its next attempt number, until none is left; of those that share a surrogate
-one keeps it. About n * n / N of n entities with N possible surrogates are drawn again, so their table
-is small and goes to all tasks. Longer e-mails make room; numbers have room as long as fewer than half
-of the numbers of a kind and head are real. Names share their words, so all names are drawn again
-together, with two syllables more each time.
-
-Null texts stay null; texts without entities stay as they are. Repeated rows are replaced alike.
+one keeps it. About n * n / N of n entities with N possible surrogates are drawn again. Their table
+meets the mentions, which are thin rows, and only texts that mention one of them get its attempt number
+along; no task holds the table unless it is small. Longer e-mails make room; numbers have room as long as fewer than half
+of the numbers of a kind and head are real. Beyond that drawing would not end, so after ``MOST_DRAWS``
+attempts it raises an error. Names share their words, so all names are drawn again together, with two syllables
+more each time.
+
+Names are found after one of a list of titles only: up to three words, with particles (``de la``) between them, which stay.
+Latin, Cyrillic, Greek and Armenian names keep their script, and capitals stay capitals.
+
+Null texts stay null; texts without entities stay as they are. Repeated rows are replaced alike. Empty
+tables give empty ones. All other columns are kept, whatever their names, but for ``entity_counts``.
 """
 
 from pyspark.sql import functions as F
 
-from .common import bounded, fenced
+from .common import bounded, fenced, reserved
 
-# Titles and the gender they tell; names follow a title, at most two words.
+# Titles and the gender they tell.
 TITLES = {
-    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Г-жа", "Госпожа"),
-    "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Г-н", "Господин"),
+    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Г-жа", "Госпожа", "Κυρία"),
+    "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Г-н", "Господин", "Κύριος"),
 }
-_NAME = r"\p{Lu}[\p{Ll}\p{M}]+(?:-\p{Lu}[\p{Ll}\p{M}]+)?"
+_PART = r"(?:\p{Lu}['’])?\p{Lu}[\p{L}\p{M}]+"
+_NAME = rf"{_PART}(?:-{_PART})?"
+_PARTICLES = "(?: (?:de|del|della|di|da|du|la|las|los|le|van|von|der|den|el)){0,3}"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _LOCAL = "A-Za-z0-9._%+-"
 KINDS = {
@@ -41,20 +49,29 @@ KINDS = {
     "ssn": "(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
     "card": "(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9A-Za-z])",
-    "name": rf"(?<!\p{{L}})(?:{'|'.join(t for g in TITLES.values() for t in g)})\.? {_NAME}(?: {_NAME})?",
+    "name": rf"(?<!\p{{L}})(?:{'|'.join(t for g in TITLES.values() for t in g)})\.? {_NAME}(?:{_PARTICLES} {_NAME}){{0,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 # What any text with an entity contains; these plain searches come first, and most texts end there.
 _SIGNS = "@|[0-9]{4}|[0-9][.][0-9]"
-_STEMS = ("Mr", "Ms", "Miss", "Frau", "Madame", "Mme", "Señor", "Sr", "Herr", "Monsieur", "Г-", "Господ")
+_STEMS = ("Mr", "Ms", "Miss", "Frau", "Madame", "Mme", "Señor", "Sr", "Herr", "Monsieur", "Г-", "Господ", "Κυρία", "Κύριος")
 # Syllables of spelled names by script, and the endings by gender.
 SYLLABLES = {
     "latin": ("ba be bi bo da de di do fa fe fi fo ga ge gi go ka ke ki ko la le li lo ma me mi mo na ne ni no "
               "pa pe pi po ra re ri ro sa se si so ta te ti to va ve vi vo za ze zi zo"),
     "cyrillic": ("ба бе би бо да де ди до фа фе фи фо га ге ги го ка ке ки ко ла ле ли ло ма ме ми мо на не ни но "
                  "па пе пи по ра ре ри ро са се си со та те ти то ва ве ви во за зе зи зо"),
+    "greek": ("βα βε βι βο γα γε γι γο δα δε δι δο κα κε κι κο λα λε λι λο μα με μι μο να νε νι νο "
+              "πα πε πι πο ρα ρε ρι ρο σα σε σι σο τα τε τι το φα φε φι φο"),
+    "armenian": ("բա բե բի բո գա գե գի գո դա դե դի դո կա կե կի կո լա լե լի լո մա մե մի մո նա նե նի նո "
+                 "պա պե պի պո ռա ռե ռի ռո սա սե սի սո տա տե տի տո վա վե վի վո"),
 }
-ENDINGS = {("latin", "f"): "na", ("latin", "m"): "n", ("cyrillic", "f"): "на", ("cyrillic", "m"): "н"}
+ENDINGS = {("latin", "f"): "na", ("latin", "m"): "n", ("cyrillic", "f"): "на", ("cyrillic", "m"): "н",
+           ("greek", "f"): "να", ("greek", "m"): "νος", ("armenian", "f"): "նա", ("armenian", "m"): "ն"}
+# How a word shows its script; other scripts are spelled in Latin letters.
+SCRIPTS = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}", "armenian": r"\p{IsArmenian}"}
+# With fewer than half of all numbers real, each draw at least halves those left.
+MOST_DRAWS = 64
 ROUNDS = 6
 # Kinds whose entities are drawn again one by one.
 ONE_BY_ONE = ("email", "ip", "ssn", "phone", "card")
@@ -138,6 +155,10 @@ def _spelled(key, label, entity, alphabet, length):
         F.array(*map(F.lit, alphabet)), F.pmod(_number(key, label, entity, i.cast("string")), F.lit(len(alphabet))).cast("int")))
 
 
+def _scripts():
+    return [(script, sign) for script, sign in SCRIPTS.items() if script in SYLLABLES]
+
+
 def _keyed(key, attempt):
     return F.concat(F.lit(f"{key}\0"), attempt.cast("string"))
 
@@ -166,7 +187,11 @@ def _name(key, entity, attempt):
             ending = F.when((n > 1) & (i == 0), F.when(female, ENDINGS[script, "f"]).otherwise(ENDINGS[script, "m"])).otherwise("")
             return F.initcap(F.concat(F.array_join(syllables, ""), ending))
 
-        return F.when(F.rlike(word, F.lit(r"\p{IsCyrillic}")), in_script("cyrillic")).otherwise(in_script("latin"))
+        new = in_script("latin")
+        for script, sign in _scripts():
+            new = F.when(F.rlike(word, F.lit(sign)), in_script(script)).otherwise(new)
+        new = F.when(word == F.upper(word), F.upper(new)).otherwise(new)
+        return F.when(F.rlike(word, F.lit(r"^\p{Ll}+$")), word).otherwise(new)
 
     return F.concat(title, F.array_join(F.transform(names, lambda w, i: renamed(w, i, F.size(names))), " "))
 
@@ -220,16 +245,20 @@ def surrogate(key, kind, entity, attempt, attempts):
     )
 
 
-def entities(documents):
-    """``kind, entity, value`` of every mention: as written, and normalized."""
-    found = documents.select(F.explode(mentions(F.col("text"))).alias("entity"))
-    named = found.distinct().withColumn("kind", kind_of(F.col("entity")))
-    return named.select("kind", "entity", normalized(F.col("kind"), F.col("entity")).alias("value"))
+def found_mentions(documents):
+    """``doc_id, text_hash, kind, entity, value`` of every mention: as written, and normalized."""
+    found = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(mentions(F.col("text"))).alias("entity"))
+    return found.withColumn("kind", kind_of(F.col("entity"))).withColumn("value", normalized(F.col("kind"), F.col("entity")))
+
+
+def entities(mentioned):
+    """``kind, entity, value``, each once."""
+    return mentioned.select("kind", "entity", "value").distinct()
 
 
 def checked_attempts(documents, key, staging, known=None):
     """The first attempt without collisions of the kinds that are drawn together, 0 of the others."""
-    known = staging.table(entities(documents), "entities") if known is None else known
+    known = staging.table(entities(found_mentions(documents)), "entities") if known is None else known
     attempts = dict.fromkeys(KINDS, 0)
     open_kinds = [kind for kind in KINDS if kind not in ONE_BY_ONE]
     while open_kinds:
@@ -240,8 +269,10 @@ def checked_attempts(documents, key, staging, known=None):
         both = drawn.select("kind", F.col("surrogate").alias("text"), F.lit(1).alias("n")).unionByName(
             drawn.select("kind", F.col("value").alias("text"), F.lit(0).alias("n")).distinct().withColumn("n", F.lit(100)))
         bad = both.groupBy("kind", "text").agg(F.sum("n").alias("n")).filter("n > 1 and n != 100")
-        cyrillic = F.rlike("text", F.lit(r"\p{IsCyrillic}[^ ]*$"))
-        found = bad.select("kind", F.when(cyrillic, "cyrillic").otherwise("latin").alias("script")).distinct().collect()
+        script = F.lit("latin")
+        for name, sign in _scripts():
+            script = F.when(F.rlike("text", F.lit(rf"{sign}[^ ]*$")), name).otherwise(script)
+        found = bad.select("kind", script.alias("script")).distinct().collect()
         # Longer names part words only if there are syllables to choose from.
         for script in {r["script"] for r in found}:
             if len(set(SYLLABLES[script].split())) < 2:
@@ -263,7 +294,7 @@ def drawn_again(known, key, staging):
     # All spellings of a value have the same surrogate, but for signs.
     values = known.filter(F.col("kind").isin(*ONE_BY_ONE)).groupBy("kind", "value").agg(F.min("entity").alias("entity"))
     now = staging.table(drawn(values.withColumn("attempt", F.lit(0))), "drawn")
-    while True:
+    for draws in range(MOST_DRAWS + 1):
         owner = F.struct("attempt", "value")
         both = now.select("kind", F.col("surrogate").alias("text"), owner.alias("owner"), F.lit(False).alias("real")).unionByName(
             now.select("kind", F.col("value").alias("text"), F.lit(None).cast("struct<attempt:int,value:string>").alias("owner"),
@@ -274,6 +305,9 @@ def drawn_again(known, key, staging):
                 ~F.col("real"), F.col("owner.value")).alias("keeper")), "bad")
         if bad.isEmpty():
             break
+        if draws == MOST_DRAWS:
+            kinds = sorted(r["kind"] for r in bad.select("kind").distinct().collect())
+            raise RuntimeError(f"too many of all possible numbers are real, so surrogates run out: {', '.join(kinds)}")
         judged = now.join(bounded(bad.withColumn("shared", F.lit(True))), ["kind", "surrogate"], "left")
         again = F.col("shared").isNotNull() & ~F.col("value").eqNullSafe(F.col("keeper"))
         # Only the new attempts are computed.
@@ -289,26 +323,31 @@ def pseudonymized(documents, key, staging):
 
     ``n_chars``, where there is one, is counted anew.
     """
-    known = staging.table(entities(documents), "entities")
+    mentioned = staging.table(found_mentions(documents), "mentions")
+    known = staging.table(entities(mentioned), "entities")
     attempts, redrawn = checked_attempts(documents, key, staging, known), drawn_again(known, key, staging)
     attempt, extra, columns = (lambda kind, entity: F.lit(0)), (), documents.columns
+    mine, again, doc_id, text_hash = reserved(documents, "mentions", "redrawn", "mention_id", "mention_hash")
     if redrawn is not None:
-        # One row with a map, which every task gets.
-        entries = F.collect_list(F.struct(F.concat_ws("\0", "kind", "value"), "attempt"))
-        documents = documents.crossJoin(F.broadcast(redrawn.agg(F.map_from_entries(entries).alias("__redrawn"))))
+        # The attempts of the entities in a text, for the texts that mention one drawn again.
+        met = mentioned.join(bounded(redrawn), ["kind", "value"]).groupBy("doc_id", "text_hash").agg(F.map_from_entries(
+            F.collect_set(F.struct(F.concat_ws("\0", "kind", "value"), "attempt"))).alias(again))
+        met = staging.table(met.withColumnsRenamed({"doc_id": doc_id, "text_hash": text_hash}), "met")
+        same = F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_hash))
+        documents = documents.join(bounded(met), same, "left")
         attempt = lambda kind, entity: F.coalesce(F.try_element_at(
-            F.col("__redrawn"), F.concat_ws("\0", kind, normalized(kind, entity))), F.lit(0))
-        extra = ("__redrawn",)
+            F.col(again), F.concat_ws("\0", kind, normalized(kind, entity))), F.lit(0))
+        extra = (again, doc_id, text_hash)
     text = F.col("text")
     found = F.transform(mentions(text), lambda e: F.struct(kind_of(e).alias("kind"), e.alias("entity")))
-    marked = documents.withColumn("__mentions", F.transform(found, lambda m: F.struct(
+    marked = documents.withColumn(mine, F.transform(found, lambda m: F.struct(
         m["kind"].alias("kind"), m["entity"].alias("entity"), attempt(m["kind"], m["entity"]).alias("attempt"))))
-    pieces = F.arrays_zip(F.split(text, ANY, -1).alias("gap"), F.col("__mentions").alias("m"))
+    pieces = F.arrays_zip(F.split(text, ANY, -1).alias("gap"), F.col(mine).alias("m"))
     replaced = F.array_join(F.transform(pieces, lambda z: F.concat(z["gap"], F.when(
         z["m"].isNotNull(), surrogate(key, z["m"]["kind"], z["m"]["entity"], z["m"]["attempt"], attempts)).otherwise(""))), "")
     counts = F.create_map(*[x for kind in KINDS for x in (
-        F.lit(kind), F.coalesce(F.size(F.filter("__mentions", lambda m: m["kind"] == kind)), F.lit(0)))])
+        F.lit(kind), F.coalesce(F.size(F.filter(mine, lambda m: m["kind"] == kind)), F.lit(0)))])
     counts = F.transform_values(counts, lambda _, n: F.greatest(n, F.lit(0)))
-    out = fenced(marked, ("__mentions", *extra), text=F.when(F.col("__mentions").isNotNull(), replaced).otherwise(text),
+    out = fenced(marked, (mine, *extra), text=F.when(F.col(mine).isNotNull(), replaced).otherwise(text),
                  entity_counts=counts)
     return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in columns else out
