@@ -17,8 +17,9 @@ number of documents with a weight of 0 or more unless given, and the noise is sc
 ``TEMPERATURE``, so sampling only matters near the border.
 
 Counts run over all documents. The target and the quantiles come from a bounded sample of labelled
-rows (``most_labels``, by hash order); what it holds does not grow with the input. Tables of weights
-have a fixed size.
+rows (``most_labels``, by hash order); of each id in it one row reaches the driver, however many copies
+there are. Tables of weights have a fixed size. Without good labels the border is arbitrary (-1, with the
+median 0), and all documents with n-grams near the corpus's own mean are kept.
 
 A document without n-grams (null, empty, blanks only) has null weights and is not kept. Ties at the
 cut are all kept, so repeated rows stay or go together.
@@ -153,6 +154,12 @@ def labelled_sample(labels, staging, most=MOST_LABELS, seed=0):
         .withColumn("held", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(HELD)) == 0), "labels")
 
 
+def held_scores(documents, ratios, sample):
+    """``doc_id, tell, style`` of the good documents kept from the models: one row per id, the least of its copies."""
+    held = documents.join(sample.filter("good and held").select("doc_id"), "doc_id", "left_semi")
+    return measured(held, ratios).filter("n_grams > 0").groupBy("doc_id").agg(F.min("tell").alias("tell"), F.min("style").alias("style"))
+
+
 def fit(documents, labels, staging, most=MOST_LABELS, seed=0):
     """Count both models and calibrate their ratio."""
     sample = F.broadcast(labelled_sample(labels, staging, most, seed))
@@ -164,8 +171,7 @@ def fit(documents, labels, staging, most=MOST_LABELS, seed=0):
     at = totals["bucket"].to_numpy()
     raw[at], target[at] = totals["raw"].to_numpy(), totals["target"].to_numpy()
     ratios = _ratios(raw, target)
-    held = documents.join(sample.filter("good and held").select("doc_id"), "doc_id", "left_semi")
-    quantiles = measured(held, ratios).filter("n_grams > 0").select("tell", "style").toArrow()
+    quantiles = held_scores(documents, ratios, sample).select("tell", "style").toArrow()
     centres, scales = [], []
     for name in ("tell", "style"):
         values = quantiles[name].to_numpy()
