@@ -14,7 +14,9 @@ token: the window's rarest word. Words are ordered by how often they occur in al
 Documents never leave their task whole: only thin rows (places and results) are shuffled.
 
 Null and empty texts have no words. Items without words have no window; items without an id count
-under the empty string, items with the same id as one. Repeated documents each get their own row.
+under the empty string, items with the same id as one. Repeated documents each get their own row. An
+empty table of documents gives an empty one, and without items nothing is hit. Other columns are not
+looked at, and kept by ``decontaminated`` whatever their names.
 """
 
 from pyspark.sql import Window, functions as F
@@ -25,7 +27,7 @@ WINDOW = 13
 
 
 def item_windows(benchmark, window=WINDOW):
-    """Distinct windows with the ids of the items that hold them: ``window_id, words, items``.
+    """Windows and the items that hold them, each pair once: ``window_id, words, item``.
 
     ``window`` consecutive words; an item of fewer words, but not none, is one window.
     """
@@ -34,8 +36,7 @@ def item_windows(benchmark, window=WINDOW):
     ).filter(F.size("_words") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("_words") - window + 1, F.lit(1)))
     cut = items.select("item", F.explode(F.transform(starts, lambda i: F.slice("_words", i, window))).alias("words"))
-    grouped = cut.groupBy("words").agg(F.collect_set("item").alias("items"))
-    return grouped.withColumn("window_id", F.sha2(F.concat_ws(" ", "words"), 256))
+    return cut.distinct().withColumn("window_id", F.sha2(F.concat_ws(" ", "words"), 256))
 
 
 def _word_counts(documents, vocabulary):
@@ -50,7 +51,7 @@ def prefix_index(windows, counts):
 
     The word is the window's rarest (then smallest); ``before`` is how many words precede it.
     """
-    placed = windows.select("window_id", "words", F.posexplode("words").alias("before", "word")).join(counts, "word")
+    placed = windows.select("window_id", "words", F.posexplode("words").alias("before", "word")).join(bounded(counts), "word")
     rarest = Window.partitionBy("window_id").orderBy("n", "word", "before")
     return (
         placed.withColumn("_order", F.row_number().over(rarest)).filter("_order = 1")
@@ -109,13 +110,15 @@ def contamination(documents, benchmark, window=WINDOW, one_in=20, staging=None):
     ``text_hash`` tells documents apart that share an id.
     """
     staging = staging or Staging(documents.sparkSession)
-    windows = staging.table(item_windows(benchmark, window), "windows")
+    owned = staging.table(item_windows(benchmark, window), "owned")
+    windows = staging.table(owned.select("window_id", "words").distinct(), "windows")
     vocabulary = windows.select(F.explode("words").alias("word")).distinct()
-    index = staging.table(prefix_index(windows, _word_counts(documents, staging.table(vocabulary, "vocabulary"))), "index")
+    counts = staging.table(_word_counts(documents, staging.table(vocabulary, "vocabulary")), "counts")
+    index = staging.table(prefix_index(windows, counts), "index")
     prefixes = index.select("word").distinct()
     known = [r.word for r in prefixes.limit(LOOKED_UP + 1).collect()]
     found = occurrences(documents, index, known if len(known) <= LOOKED_UP else None, window)
-    owners = windows.select("window_id", F.explode("items").alias("item"))
+    owners = owned.select("window_id", "item")
     per_document = found.groupBy(ROW, "doc_id", "text_hash", "n_words").agg(
         F.sort_array(F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "length")))).alias("_runs"),
         F.collect_set("window_id").alias("_windows"),
