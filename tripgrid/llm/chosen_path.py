@@ -38,7 +38,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import Staging, bounded, matching
 
@@ -50,9 +50,9 @@ DEEPEST = 12
 LEAST_RUNS = 10
 # The share of nodes that sample a second place.
 TWICE = 0.25
-# Large nodes are judged by so many of their classes and places. Below this mean agreement they are loose:
+# Large nodes are judged by about so many of their classes. Below this mean agreement they are loose:
 # similar texts then share a token outside the template, unless they have few of these (miss: 2 in 100,000 with OWN).
-JUDGED, PROBES, TIGHT, OWN = 512, 16, 0.6, 16
+JUDGED, TIGHT, OWN = 512, 0.6, 16
 # Sketches of a pair at the threshold agree in fewer places with a chance below one in a million.
 AGREE = 33
 
@@ -173,18 +173,16 @@ def _children(rows, depth):
 def _judged(nodes, classes, staging):
     """Which large nodes are tight: ``node, tight`` of nodes (``node, key, size``; staged).
 
-    The mean over some places of how often two classes of the node agree, of a bounded number of them;
+    The mean share of places in which two classes of the node agree, over a bounded number of random pairs;
     it decides where a node's pairs are looked for, not whether.
     """
-    drawn = F.pmod(F.xxhash64("key", "node"), F.col("size")) < JUDGED
-    some = nodes.filter(drawn).join(classes.select("key", "sketch"), "key")
-    step = SKETCH // PROBES
-    probes = some.select("node", "key", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(PROBES - 1)), lambda i: F.get("sketch", (i * step).cast("int")))).alias("place", "value"))
-    equal = probes.groupBy("node", "place", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("node", "place").agg(
-        F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs"))
-    share = F.sum("pairs") / F.greatest(F.sum(F.col("n") * (F.col("n") - 1)), F.lit(1))
-    return staging.table(equal.groupBy("node").agg((share >= TIGHT).alias("tight")), "judged")
+    draw = F.xxhash64("key", "node")
+    some = nodes.filter(F.pmod(draw, F.col("size")) < JUDGED).join(classes.select("key", "sketch"), "key")
+    # Neighbours by hash are pairs drawn at random.
+    other = F.lag("sketch").over(Window.partitionBy("node").orderBy(draw, "key"))
+    agree = F.size(F.filter(F.zip_with("sketch", "other", lambda x, y: x == y), lambda same: same)) / SKETCH
+    pairs = some.withColumn("other", other).filter("other is not null")
+    return staging.table(pairs.groupBy("node").agg((F.avg(agree) >= TIGHT).alias("tight")), "judged")
 
 
 def _spread(loose, classes, staging, batch):
