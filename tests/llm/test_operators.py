@@ -434,6 +434,76 @@ def test_a_weight_moves_rows_only_through_its_shard(spark):
     assert {a for a, b in zip(before, _shards(spark, tree)) if a != b} == {2}
 
 
+def _plain_shard(key, tree):
+    """The same law in plain Python: every attempt of every process until its first accepted one; the earliest counts."""
+    size = (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & size
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & size
+        return x ^ x >> 31
+
+    def doubling(end):
+        spans = [(0, 1)]
+        while spans[-1][1] < end:
+            spans.append((spans[-1][1], 2 * spans[-1][1]))
+        return spans
+
+    regions = [[list(rack.items()) for rack in racks.values()] for racks in tree.values()]
+    most = max(w for racks in regions for rack in racks for _, w in rack)
+    arrivals = []
+    for low, high in doubling(most):
+        for first, last in doubling(len(regions)):
+            if not any(w > low for racks in regions[first:last] for rack in racks for _, w in rack):
+                continue
+            stream, time = mixed(key ^ mixed((low << 32) + first + 1)), 0.0
+            while True:
+                draws = []
+                for _ in range(5):
+                    stream = stream + 0x9E3779B97F4A7C15 & size
+                    draws.append(((mixed(stream) >> 12) + 0.5) / (1 << 52))
+                time -= np.log(draws[0]) / ((high - low) * (last - first) * sharding.RACKS * sharding.SHARDS)
+                region, rack, shard = first + int(draws[1] * (last - first)), int(draws[2] * 2), int(draws[3] * 2)
+                try:
+                    name, weight = regions[region][rack][shard]
+                except IndexError:
+                    continue
+                if draws[4] < (weight - low) / (high - low):
+                    arrivals.append((time, name))
+                    break
+    return min(arrivals)[1]
+
+
+def test_the_descent_is_the_plain_law():
+    tree = sharding.even_tree(13)
+    tree[0][1][2], tree[1][2][5], tree[2][4][8], tree[3][6][12] = 3.5, 0.25, 0, 1.5
+    keys = np.random.default_rng(5).integers(-(1 << 63), 1 << 63, 3_000)
+    got = sharding.HashTree(tree).descend(keys)[:, 2].tolist()
+    assert got == [_plain_shard(int(k) % (1 << 64), tree) for k in keys]
+
+
+def test_shards_win_by_weight():
+    tree = {"a": {0: {0: 0.5, 1: 4.0}}, "b": {1: {2: 1.0}, 2: {3: 2.5, 4: 0}}, "c": {3: {5: 7.0}}}
+    tree = {n: racks for n, racks in enumerate(tree.values())}
+    weights = {s: w for racks in tree.values() for rack in racks.values() for s, w in rack.items()}
+    n = 200_000
+    shards = Counter(sharding.HashTree(tree).descend(np.random.default_rng(6).integers(-(1 << 63), 1 << 63, n))[:, 2].tolist())
+    for shard, weight in weights.items():
+        share = weight / sum(weights.values())
+        assert abs(shards[shard] - n * share) <= 5 * (n * share) ** 0.5
+    with pytest.raises(ValueError):
+        sharding.HashTree({0: {0: {0: 0}}})
+    with pytest.raises(ValueError):
+        sharding.HashTree({0: {0: {0: 1, 1: 1, 2: 1}}})
+
+
+def test_ten_thousand_shards(spark):
+    n = 50_000
+    before, after = _shards(spark, sharding.even_tree(10_000), n), _shards(spark, sharding.even_tree(10_001), n)
+    assert {b for a, b in zip(before, after) if a != b} <= {10_000}
+    assert max(Counter(before).values()) < 25 and len(set(before)) > 9_800
+
+
 # Personal data
 
 PRIVATE = [
