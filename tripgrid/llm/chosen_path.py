@@ -170,19 +170,24 @@ def _children(rows, depth):
         F.when(twice & (place[0] != place[1]), F.array(*child)).otherwise(F.array(child[0]))).alias("child"))
 
 
-def _judged(nodes, classes, staging):
-    """Which large nodes are tight: ``node, tight`` of nodes (``node, key, size``; staged).
+def _judged(rows, nodes, classes, staging):
+    """``node, tight`` of nodes (``node, size``; staged), whose classes are ``rows`` (``node, key``).
 
-    The mean share of places in which two classes of the node agree, over a bounded number of random pairs;
-    it decides where a node's pairs are looked for, not whether.
+    Tight: the mean share of places in which two classes of the node agree, over a bounded number of random pairs.
+    It decides where a node's pairs are looked for, not whether; a node without a pair drawn is tight.
     """
+    # The draw is part of the join, so no node yields more than its share of rows.
     draw = F.xxhash64("key", "node")
-    some = nodes.filter(F.pmod(draw, F.col("size")) < JUDGED).join(classes.select("key", "sketch"), "key")
+    some = rows.withColumnRenamed("node", "_node").withColumn("draw", F.xxhash64("key", "_node")).join(
+        bounded(nodes), (F.col("_node") == F.col("node")) & (F.pmod("draw", "size") < JUDGED))
+    some = some.select("node", "key").join(classes.select("key", "sketch"), "key")
     # Neighbours by hash are pairs drawn at random.
     other = F.lag("sketch").over(Window.partitionBy("node").orderBy(draw, "key"))
     agree = F.size(F.filter(F.zip_with("sketch", "other", lambda x, y: x == y), lambda same: same)) / SKETCH
     pairs = some.withColumn("other", other).filter("other is not null")
-    return staging.table(pairs.groupBy("node").agg((F.avg(agree) >= TIGHT).alias("tight")), "judged")
+    means = pairs.groupBy("node").agg(F.avg(agree).alias("agree"))
+    tight = F.coalesce(F.col("agree") >= TIGHT, F.lit(True))
+    return staging.table(nodes.join(means, "node", "left").select("node", tight.alias("tight")), "judged")
 
 
 def _spread(loose, classes, staging, batch):
@@ -192,8 +197,9 @@ def _spread(loose, classes, staging, batch):
     sizes = staging.table(tokens.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "token_sizes")
     small = tokens.join(sizes.filter(F.col("size") <= LEAF), "node")
     # Tokens of a template are few; whatever shares one meets it here without a shuffle.
-    large = staging.table(tokens.join(bounded(sizes.filter(F.col("size") > LEAF)), "node"), "large_tokens")
-    tight = _judged(large, classes, staging).filter("tight").select("node")
+    hubs = sizes.filter(F.col("size") > LEAF)
+    large = staging.table(tokens.join(bounded(hubs), "node"), "large_tokens")
+    tight = _judged(large.select("node", "key"), hubs, classes, staging).filter("tight").select("node")
     both = small.unionByName(large.join(bounded(tight), "node", "left_semi").select(*small.columns))
     few = large.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SKETCH - OWN).select("key")
     return both.select(F.col("node").alias("leaf"), "key", "size"), staging.table(few, "few_own")
@@ -209,20 +215,29 @@ def _descend(rows, level, classes, staging, further):
     while True:
         split = staging.table(_children(rows, level), f"level{level}")
         level += 1
-        sizes = split.groupBy("child").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        nodes = staging.table(split.join(sizes, "child"), f"nodes{level}")
-        found.append(nodes.filter(F.col("size") <= LEAF).select(F.col("child").alias("leaf"), "key", "size"))
-        large = nodes.filter(F.col("size") > LEAF).withColumnRenamed("child", "node")
-        if level >= DEEPEST and further:
-            found.append(large.select(F.col("node").alias("leaf"), "key", "size"))
+        sizes = staging.table(split.groupBy("child").agg(
+            F.count(F.lit(1)).alias("size"), F.any_value("above").alias("above")).filter("size > 1"), f"sizes{level}")
+        # Nodes are judged among themselves, so that rows meet one table only: null is to be split, else a leaf or loose.
+        last = level >= DEEPEST
+        stuck = (F.col("size") > LEAF) & (F.lit(last) | F.coalesce(2 * F.col("size") >= F.col("above"), F.lit(False)))
+        met = sizes.filter(stuck).select(F.col("child").alias("node"), "size")
+        tight = F.lit(None).cast("boolean")
+        if last and further:
+            tight = F.lit(True)
+        elif not met.isEmpty():
+            judged = _judged(split.select(F.col("child").alias("node"), "key"), met, classes, staging)
+            sizes = sizes.join(bounded(judged.withColumnRenamed("node", "child")), "child", "left")
+            tight = F.col("tight")
+        sizes = sizes.select("child", "size", tight.alias("tight"))
+        nodes = staging.table(split.drop("above").join(sizes, "child"), f"nodes{level}")
+        found.append(nodes.filter((F.col("size") <= LEAF) | F.col("tight")).select(F.col("child").alias("leaf"), "key", "size"))
+        large = nodes.filter(F.col("size") > LEAF).select(
+            "run", "key", F.col("child").alias("node"), F.col("size").alias("above"), "tight")
+        if last and further:
             return found, loose, level
-        stuck = F.coalesce(2 * F.col("size") >= F.col("above"), F.lit(False)) if level < DEEPEST else F.lit(True)
-        rest = large.filter(~stuck).select("run", "key", "node", F.col("size").alias("above"))
-        met = staging.table(large.filter(stuck).select("run", "key", "node", "size"), f"stuck{level}")
+        rest = large.filter("tight is null").drop("tight")
         if not met.isEmpty():
-            met = staging.table(met.join(bounded(_judged(met, classes, staging)), "node"), f"met{level}")
-            found.append(met.filter("tight").select(F.col("node").alias("leaf"), "key", "size"))
-            slow = met.filter("not tight").select("run", "key", "node", F.col("size").alias("above"))
+            slow = large.filter("not tight").drop("tight")
             if further:
                 rest = rest.unionByName(slow)
             else:
