@@ -1,7 +1,7 @@
 """DuckDB SQL for the operators that SQL can express, written from what they promise, not how they work."""
 
 from .quality_rules import POLICY, RULES as QUALITY_RULES
-from .secret_scan import RULES as SECRET_RULES
+from .secret_scan import MORE_RULES
 from .url_rules import PATTERN_RULES
 
 _SMALL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -71,17 +71,24 @@ SELECT doc_id, CASE WHEN n IS NULL THEN doc_id ELSE class_id END AS class_id, co
 FROM docs LEFT JOIN sizes USING (r) LEFT JOIN classes USING (r) LEFT JOIN counts USING (r)"""
 
 
+# Kind, pattern, judged group and its least length of the base kinds.
+_BASE_KINDS = [
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+]
+
+
 def _secrets():
     parts = []
-    for n, rule in enumerate(SECRET_RULES):
-        # Of the hex kind all runs are found here and the short ones dropped.
-        pattern = "[0-9a-f]+" if rule.kind == "hex" else rule.regex
+    kinds = _BASE_KINDS + [(rule.kind, rule.regex, rule.group, rule.least) for rule in MORE_RULES]
+    for n, (kind, pattern, group, least) in enumerate(kinds):
         parts.append(f"""
-  SELECT r, {n} AS kind_no, '{rule.kind}' AS kind, {rule.least} AS least,
+  SELECT r, {n} AS kind_no, '{kind}' AS kind, {least} AS least,
          unnest(range(0, len(regexp_extract_all(t, {_quoted(pattern)})))) AS nth,
          unnest(string_split_regex(t, {_quoted(pattern)})) AS gap,
          unnest(regexp_extract_all(t, {_quoted(pattern)}, 0)) AS m,
-         unnest(regexp_extract_all(t, {_quoted(pattern)}, {rule.group})) AS judged
+         unnest(regexp_extract_all(t, {_quoted(pattern)}, {group})) AS judged
   FROM docs""")
     span = "kind || ':' || (e - length(m)) || ':' || e"
     ordered = "ORDER BY e - length(m), kind_no, e"
@@ -124,6 +131,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failed_rules, '{POLICY.name}/{POLICY.version}' AS policy
 FROM judged"""
 
+_RULE_BITS = ", ".join(f"('{rule}', {1 << i})" for i, rule in enumerate(QUALITY_RULES))
+_ABLATIONS = f"""
+SELECT rule, count(*) FILTER (failed_rules & bit <> 0) AS n_failed, count(*) FILTER (failed_rules = bit) AS n_failed_alone,
+       count(*) FILTER (failed_rules & ~bit = 0) AS n_kept_without,
+       bit_or(failed_rules & ~bit) FILTER (failed_rules & bit <> 0) AS failed_with
+FROM ({_QUALITY}), (SELECT rule, CAST(bit AS BIGINT) AS bit FROM (VALUES {_RULE_BITS}) AS v(rule, bit)) GROUP BY rule"""
+
 _WARC = """
 WITH read AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
 held AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) FILTER (n >= 100) OVER (PARTITION BY digest) END AS first FROM read)
@@ -254,4 +268,5 @@ ORACLE = {
     "op11_spelling_variants": _SPELLING,
     "op12_merkle_manifest": _merkle(),
     "op13_chat_tree": _CHAT,
+    "quality_ablations": _ABLATIONS,
 }

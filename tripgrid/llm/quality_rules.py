@@ -6,7 +6,8 @@ again: ``apply_policy`` is one bitwise AND, and ``ablations`` says what each rul
 the counts of the distinct bit patterns.
 
 Null texts have no words; a text without words has zero in every measurement.
-Long texts are measured whole, in the task that reads them; nothing is shuffled.
+Long texts are measured whole, in the task that reads them; nothing is shuffled. Repeated rows are measured
+each, and an empty table gives an empty ledger, without ablations. Columns that are not kept are not looked at.
 """
 
 from dataclasses import dataclass

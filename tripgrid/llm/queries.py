@@ -11,7 +11,7 @@ from .importance import resample
 from .merkle import verified_rows
 from .packing import pack
 from .pii import KINDS, pseudonymized
-from .quality_rules import BASE_POLICY, POLICY, apply_policy, fails, ledger
+from .quality_rules import BASE_POLICY, POLICY, ablations, apply_policy, fails, ledger
 from .secret_scan import findings, span_summary
 from .sharding import shard_table
 from .spelling import variants
@@ -59,6 +59,11 @@ def op6_quality_rules(spark, sf_dir):
         fails(BASE_POLICY).alias("base_failed"), "kept", F.col("failed").alias("failed_rules"), "policy")
 
 
+def quality_ablations(spark, sf_dir):
+    """What each rule of the policy refuses, alone and with others."""
+    return ablations(ledger(_table(spark, sf_dir, "documents")), POLICY)
+
+
 def op7_packing(spark, sf_dir):
     return pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -109,4 +114,4 @@ def op13_chat_tree(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_importance_resampling, op2_url_filter, op3_decontamination, op4_jaccard_join, op5_secret_scan,
     op6_quality_rules, op7_packing, op8_sharding, op9_surrogates, op10_warc_salvage, op11_spelling_variants,
-    op12_merkle_manifest, op13_chat_tree)}
+    op12_merkle_manifest, op13_chat_tree, quality_ablations)}
