@@ -12,6 +12,7 @@ from tripgrid.llm import chosen_path, importance, packing, pii, quality_rules, s
 from tripgrid.llm.common import Staging
 from tripgrid.llm.decontaminate import contamination, decontaminated
 from tripgrid.llm.queries import TOKENIZER
+from tripgrid.operators import joining
 
 from . import brute
 
@@ -120,6 +121,57 @@ def test_jaccard_join(spark, monkeypatch, leaf):
     _same(_rows(got, "doc_id", "class_id"), [(d, d if not brute.shingles(t) else k) for (d, t), (_, k, _, _) in zip(JOINED, want)])
 
 
+def test_jaccard_join_drops_tables_of_finished_steps(spark, monkeypatch):
+    """What only one step reads is gone after it, sketches above all; the result needs none of it."""
+    made = []
+
+    class Recorded(Staging):
+        def __init__(self, session):
+            super().__init__(session)
+            made.append(self)
+
+    monkeypatch.setattr(chosen_path, "Staging", Recorded)
+    staging = Staging(spark)
+    got = chosen_path.jaccard_join(_frame(spark, JOINED), staging=staging)
+    assert made and not any(files.exists(folder) for files, folder in (m._folder() for m in made))
+    files, folder = staging._folder()
+    left = {status.getPath().getName(): spark.read.parquet(status.getPath().toString()) for status in files.listStatus(folder)}
+    assert left and not any("sketch" in table.columns for table in left.values())
+    assert not any(name.startswith(("level", "sizes", "nodes", "tokens", "known", "needed")) for name in left)
+    _same(_rows(got, "doc_id", "n_links", "n_copies"), [(d, n, c) for d, _, n, c in brute.links(JOINED)])
+
+
+def test_sketches_are_not_shuffled_for_a_few_rows(spark, monkeypatch, setting):
+    """Rows that are split further are sent to the sketches, and leaves get one byte of each hash."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(chosen_path, "LEAF", 4)
+    plans, kinds, children, gathered = [], [], chosen_path._children, chosen_path._gathered
+
+    def split(rows, depth):
+        if depth:
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return children(rows, depth)
+
+    def gather(rows, *columns):
+        kinds.append(dict(rows.dtypes)["sketch"])
+        return gathered(rows, *columns)
+
+    monkeypatch.setattr(chosen_path, "_children", split)
+    monkeypatch.setattr(chosen_path, "_gathered", gather)
+    chosen_path.jaccard_join(_frame(spark, JOINED))
+    assert plans and all("BroadcastHashJoin" in plan and "SortMergeJoin" not in plan for plan in plans)
+    assert kinds == ["array<tinyint>"] * 2
+
+
+def test_jaccard_join_without_broadcasts(spark, monkeypatch, setting):
+    """The same rows where no table is small enough to broadcast."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(joining, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(chosen_path, "LEAF", 4)
+    got = chosen_path.jaccard_join(_frame(spark, JOINED))
+    _same(_rows(got, "doc_id", "n_links", "n_copies"), [(d, n, c) for d, _, n, c in brute.links(JOINED)])
+
+
 def test_one_of_each(spark, documents, none):
     kept = chosen_path.one_of_each(documents)
     assert kept.columns == documents.columns

@@ -20,8 +20,8 @@ of copies of any size costs one row.
    whatever depth the nodes reached. All runs look at the same sketches, so the chance of a miss is
    summed over the number of places in which the two sketches agree.
 4. Brute force in the leaves, in squares of blocks where a leaf is large, so no task holds more than
-   two blocks. Sketches and sizes find candidate pairs; classes that have one get their shingles
-   (from a second look at the texts), and similarity is computed exactly. A pair that shares several
+   two blocks. Sketches (one byte of each hash) and sizes find candidate pairs; classes that have one get
+   their shingles (from a second look at the texts), and similarity is computed exactly. A pair that shares several
    leaves counts in the first one only, so links are counted without listing pairs: what leaves a leaf
    is one row per class, with its number of links and the smallest class it is connected to there.
 5. Connect the classes by star contraction.
@@ -170,6 +170,13 @@ def _children(rows, depth):
         F.when(twice & (place[0] != place[1]), F.array(*child)).otherwise(F.array(child[0]))).alias("child"))
 
 
+def _sketched(rows, classes, staging):
+    """Rows (``run, key, node, above``) with their class's sketch. A class meets its sketch once, however many rows it has."""
+    each = rows.groupBy("key").agg(F.collect_list(F.struct("run", "node", "above")).alias("rows"))
+    # Few classes go on, so they go to the sketches where they can.
+    return classes.select("key", "sketch").join(bounded(staging.table(each, "further")), "key").select("key", "sketch", F.inline("rows"))
+
+
 def _judged(rows, nodes, classes, staging):
     """``node, tight`` of nodes (``node, size``; staged), whose classes are ``rows`` (``node, key``).
 
@@ -180,7 +187,7 @@ def _judged(rows, nodes, classes, staging):
     draw = F.xxhash64("key", "node")
     some = rows.withColumnRenamed("node", "_node").withColumn("draw", F.xxhash64("key", "_node")).join(
         bounded(nodes), (F.col("_node") == F.col("node")) & (F.pmod("draw", "size") < JUDGED))
-    some = some.select("node", "key").join(classes.select("key", "sketch"), "key")
+    some = classes.select("key", "sketch").join(bounded(staging.table(some.select("node", "key"), "drawn")), "key")
     # Neighbours by hash are pairs drawn at random.
     other = F.lag("sketch").over(Window.partitionBy("node").orderBy(draw, "key"))
     agree = F.size(F.filter(F.zip_with("sketch", "other", lambda x, y: x == y), lambda same: same)) / SKETCH
@@ -192,7 +199,7 @@ def _judged(rows, nodes, classes, staging):
 
 def _spread(loose, classes, staging, batch):
     """Split classes of loose nodes (``key``) on all their tokens: leaves (``leaf, key, size``), and the keys to split further."""
-    tokens = loose.join(classes.select("key", "sketch"), "key").select("key", F.posexplode("sketch").alias("place", "value"))
+    tokens = classes.select("key", "sketch").join(bounded(loose), "key").select("key", F.posexplode("sketch").alias("place", "value"))
     tokens = staging.table(tokens.select("key", F.xxhash64(F.lit("token"), F.lit(batch), "place", "value").alias("node")), "tokens")
     sizes = staging.table(tokens.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "token_sizes")
     small = tokens.join(sizes.filter(F.col("size") <= LEAF), "node")
@@ -229,7 +236,7 @@ def _descend(rows, level, classes, staging, further):
             sizes = sizes.join(bounded(judged.withColumnRenamed("node", "child")), "child", "left")
             tight = F.col("tight")
         sizes = sizes.select("child", "size", tight.alias("tight"))
-        nodes = staging.table(split.drop("above").join(sizes, "child"), f"nodes{level}")
+        nodes = staging.table(split.drop("above").join(bounded(sizes), "child"), f"nodes{level}")
         found.append(nodes.filter((F.col("size") <= LEAF) | F.col("tight")).select(F.col("child").alias("leaf"), "key", "size"))
         large = nodes.filter(F.col("size") > LEAF).select(
             "run", "key", F.col("child").alias("node"), F.col("size").alias("above"), "tight")
@@ -244,11 +251,12 @@ def _descend(rows, level, classes, staging, further):
                 loose.append(slow)
         if rest.isEmpty():
             return found, loose, level
-        rows = rest.join(classes.select("key", "sketch"), "key")
+        rows = _sketched(rest, classes, staging)
 
 
 def leaves(classes, staging, threshold=THRESHOLD, recall=RECALL):
     """Leaves of all runs: ``leaf, key, blocks``; those with one class only are left out."""
+    kept, staging = staging, Staging(classes.sparkSession)
     found, runs, wanted, depth = [], 0, runs_for(2, threshold, recall), 0
     while runs < wanted:
         rows = classes.select("key", "sketch", F.explode(F.array(*map(F.lit, range(runs, wanted)))).alias("run"))
@@ -257,17 +265,19 @@ def leaves(classes, staging, threshold=THRESHOLD, recall=RECALL):
         found += more
         if loose:
             loose = staging.table(reduce(DataFrame.unionByName, loose), "loose")
-            spread, few = _spread(loose.select("key").distinct(), classes, staging, runs)
+            spread, few = _spread(staging.table(loose.select("key").distinct(), "loose_keys"), classes, staging, runs)
             found.append(spread)
             rest = staging.table(loose.join(bounded(few), "key", "left_semi"), "rest")
             if not rest.isEmpty():
-                more, _, level = _descend(rest.join(classes.select("key", "sketch"), "key"), level, classes, staging, True)
+                more, _, level = _descend(_sketched(rest, classes, staging), level, classes, staging, True)
                 found += more
         depth = max(depth, level)
         runs, wanted = wanted, max(wanted, runs_for(depth, threshold, recall))
     union = reduce(DataFrame.unionByName, found)
     blocks = F.ceil(F.col("size") / LEAF).cast("int")
-    return staging.table(union.select("leaf", "key", blocks.alias("blocks")).distinct(), "leaves")
+    out = kept.table(union.select("leaf", "key", blocks.alias("blocks")).distinct(), "leaves")
+    staging.remove()
+    return out
 
 
 # Leaves
@@ -439,29 +449,40 @@ def jaccard_join(documents, threshold=THRESHOLD, recall=RECALL, staging=None):
     """
     spark = documents.sparkSession
     staging = staging or Staging(spark)
+    # Tables of one step only go as soon as the next one's are written.
+    embedded, split, compared = Staging(spark), Staging(spark), Staging(spark)
     kind = documents.schema["doc_id"].dataType.simpleString()
     read = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    sets = staging.table(read.mapInArrow(
+    sets = embedded.table(read.mapInArrow(
         _sets, f"doc_id {kind}, text_hash long, key binary, n_shingles int, sketch array<int>"), "sets")
-    classes = staging.table(sets.filter("key is not null").groupBy("key").agg(
+    classes = split.table(sets.filter("key is not null").groupBy("key").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
         F.any_value("n_shingles").alias("n_shingles"), F.any_value("sketch").alias("sketch")), "classes")
-    in_leaves = leaves(classes, staging, threshold, recall)
-    paths = in_leaves.groupBy("key").agg(F.sort_array(F.collect_set("leaf")).alias("paths"))
-    known = staging.table(classes.join(paths, "key"), "known")
-    first = _squares(in_leaves.join(known.select("key", "n_shingles", "sketch", "paths"), "key"))
-    needed = staging.table(_gathered(first, "key", "n_shingles", "block", "paths", "sketch").mapInArrow(
+    sets = staging.table(sets.drop("sketch"), "documents")
+    embedded.remove()
+    in_leaves = leaves(classes, split, threshold, recall)
+    places = in_leaves.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("leaf", "blocks"))).alias("places"))
+    # One byte of each hash tells candidates from others nearly as well, and never hides one.
+    byte = F.transform("sketch", lambda x: F.shiftright(F.shiftleft(x, 24), 24).cast("tinyint"))
+    known = compared.table(classes.withColumn("sketch", byte).join(places, "key"), "known")
+    classes = staging.table(classes.select("key", "first_id", "copies"), "classes")
+    split.remove()
+    known = known.withColumn("paths", F.col("places.leaf"))
+    first = _squares(known.select("key", "n_shingles", "sketch", "paths", F.inline("places")))
+    needed = compared.table(_gathered(first, "key", "n_shingles", "block", "paths", "sketch").mapInArrow(
         _needed(threshold), "leaf long, a int, b int, key binary, block int"), "needed")
     # The shingles of classes with a candidate, from their first document.
-    wanted = staging.table(needed.select("key").distinct().join(classes.select("key", "first_id"), "key"), "wanted")
+    wanted = compared.table(known.drop("places").join(bounded(
+        compared.table(needed.select("key").distinct(), "needed_keys")), "key"), "wanted")
     one_each = wanted.select(F.col("first_id").alias("_first")).distinct()
     texts = documents.select("doc_id", "text").join(
         bounded(one_each), F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi").select("text")
     shingles = texts.mapInArrow(_shingles, "key binary, shingles array<long>").join(
         bounded(wanted.select("key")), "key", "left_semi").dropDuplicates(["key"])
-    full = needed.join(known.select("key", "n_shingles", "sketch", "paths", "copies"), "key").join(shingles, "key")
+    full = wanted.drop("first_id").join(shingles, "key").join(bounded(needed), "key")
     linked = staging.table(_gathered(full, "key", "n_shingles", "block", "paths", "sketch", "copies", "shingles").mapInArrow(
         _linked(threshold), "key binary, root binary, links long"), "linked")
+    compared.remove()
     links = linked.groupBy("key").agg(F.sum("links").alias("links"))
     edges = components(linked.select(F.col("key").alias("a"), F.col("root").alias("b")), staging)
     # Only classes with links are in groups; the others are their own.
